@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ["diagnosis"]
+GROUPS = ["ingest", "diagnosis", "budgets", "aggregation", "planning"]
 
 
 def load():

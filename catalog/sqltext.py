@@ -33,7 +33,7 @@ def any_phrase(text: str, phrases) -> str:
 
 
 def case_map(x: str, table: dict, default: str) -> str:
-    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v) if isinstance(v, str) else v}" for k, v in table.items())
+    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v) if isinstance(v, str) else f'CAST({v} AS DOUBLE)'}" for k, v in table.items())
     return f"CASE {x} {whens} ELSE {default} END"
 
 
@@ -173,7 +173,7 @@ told AS (
 ),
 weaknesses AS (
   SELECT CAST(row_number() OVER (ORDER BY f.fault_type, f.tag) AS INTEGER) AS rank, f.fault_type, f.tag, f.frequency,
-    f.sample_task_ids, {case_map('f.fault_type', fixed.TRAINABILITY, '0.5')} AS trainability,
+    f.sample_task_ids, {case_map('f.fault_type', fixed.TRAINABILITY, 'CAST(0.5 AS DOUBLE)')} AS trainability,
     coalesce(t.root_cause, 'Grouped by ' || f.fault_type || '/' || f.tag
       || ' (verification_status=passed; verification_level=self_check)') AS root_cause,
     coalesce(t.cliff, f.tag || ' remains after canonical clustering.') AS cliff

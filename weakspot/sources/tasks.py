@@ -72,7 +72,7 @@ def load_merged(spark: SparkSession, path: str) -> DataFrame:
 
 def spaced_json(text: Column) -> Column:
     """Compact JSON text with a space after each separator outside strings."""
-    token = r'((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+)([,:])'
+    token = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+)([,:])'
     return F.regexp_replace(text, token, "$1$2 ")
 
 
