@@ -5,7 +5,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from catalog import sqltext as s
-from catalog.aggregation import CHAIN_SQL, diagnoses, report
+from catalog.aggregation import CHAIN_SQL, diagnoses
+from catalog.aggregation import report as fresh_report
 from catalog.registry import query, table
 from weakspot import fixed_values as fixed
 
@@ -22,6 +23,11 @@ allocated AS (SELECT top.*, top.key = (SELECT tags[1] FROM chain) AS is_root,
       + CASE WHEN trainability >= 0.8 THEN 1 ELSE 0 END, 8) AS INTEGER) AS n_slots FROM top),
 slot_rows AS (SELECT *, CAST(unnest(range(n_slots)) AS INTEGER) AS slot FROM allocated)"""
 
+
+def report(spark, sf):
+    return fresh_report(spark, sf).settled()
+
+
 # one weakness per user: their events as frequency, keys shared by many users
 USER_WEAKNESS_SQL = """user_weak AS (
   SELECT CAST(user_id AS INTEGER) AS rank, CASE user_id % 5 WHEN 0 THEN 'modeling' WHEN 1 THEN 'surface' ELSE 'implementation' END AS fault_type,
@@ -83,11 +89,11 @@ tagged_rows AS (SELECT {s.report_tag('t')} AS report_key, t, * FROM (SELECT unne
 other AS (SELECT coalesce(CASE WHEN t IN (SELECT tag FROM clusters) THEN report_key END, t) AS key, task_id, spot, wrong_line, correct_approach, failed_test
   FROM tagged_rows),
 samples AS (
-  SELECT key, row_number() OVER (PARTITION BY key ORDER BY spot) - 1 AS pos, wrong_line, correct_approach, failed_test FROM own
+  SELECT key, row_number() OVER (PARTITION BY key ORDER BY spot) AS nth, wrong_line, correct_approach, failed_test FROM own
   UNION ALL
-  SELECT key, row_number() OVER (PARTITION BY key ORDER BY task_id, spot) - 1, wrong_line, correct_approach, failed_test FROM other
+  SELECT key, row_number() OVER (PARTITION BY key ORDER BY task_id, spot), wrong_line, correct_approach, failed_test FROM other
   WHERE key IN (SELECT key FROM best) AND key NOT IN (SELECT key FROM own)),
-first_three AS (SELECT * FROM samples WHERE pos < 3)"""
+first_three AS MATERIALIZED (SELECT key, nth - 1 AS pos, wrong_line, correct_approach, failed_test FROM samples WHERE nth <= 3)"""
 
 
 def evidence_samples(spark, sf):

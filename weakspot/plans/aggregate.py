@@ -13,6 +13,7 @@ from weakspot.operators import merges, report
 from weakspot.operators.collective import analyzed, proposals_of
 from weakspot.operators.diagnose import failures
 from weakspot.operators.repair import repaired
+from weakspot.sources.artifacts import written
 
 
 class Report(NamedTuple):
@@ -24,6 +25,14 @@ class Report(NamedTuple):
     def document(self) -> DataFrame:
         return report.as_document(*self)
 
+    def settled(self) -> "Report":
+        """The report written once as its one-row document and read back.
+
+        Stages that use it several times then read a few rows instead of
+        aggregating the facts again.
+        """
+        return Report(**report.from_document(written(self.document(), "report")))
+
 
 def aggregate(
     diagnoses: DataFrame,
@@ -37,11 +46,14 @@ def aggregate(
 ) -> Report:
     """Weakness report of the failures among ``diagnoses``.
 
+    The diagnoses are reduced right away to partials per fault type and tag,
+    which are written; everything else works on those.
+
     ``collective`` and ``causal`` are analyzers (see ``operators.collective``);
     ``on_events`` receives the log of answers that had to be replaced.
     """
     rows = repaired(failures(diagnoses), level, reachable, verifiers, rediagnose)
-    parts = cl.partials(rows)
+    parts = cl.Partials(*[written(part, "partials") for part in cl.partials(rows)])
     groups = cl.named(parts)
     own_tags = groups.counts.select("tag").distinct()
 

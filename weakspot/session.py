@@ -1,7 +1,5 @@
 """Session settings."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # results do not depend on these; they are what the plans are laid out for
@@ -29,14 +27,6 @@ def local_session(cpus: str = "8", memory: str = "8g") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-    use_scratch(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def use_scratch(spark: SparkSession) -> None:
-    """Give a local session a folder for written intermediates where none is set."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="weakspot-"))

@@ -1,6 +1,7 @@
 """Stage artifacts: one dataset per stage, partitioned by run."""
 
 import re
+import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -61,10 +62,16 @@ class RunStore:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for written intermediates: the one the cluster names."""
+    """Shared folder for written intermediates: the one the cluster names.
+
+    Only a session on one machine that names none gets a folder of its own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        configured = tempfile.mkdtemp(prefix="weakspot-")
+        spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
 
 
