@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ["ingest", "diagnosis", "budgets", "aggregation", "planning"]
+GROUPS = ["ingest", "diagnosis", "budgets", "aggregation", "planning", "texts"]
 
 
 def load():

@@ -144,3 +144,66 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("wrong_line", "correct_approach", "failed_test").alias("evidence"),
         _labels().alias("enriched_labels"), "confidence", "diagnosis_source", F.lit("v1").alias("prompt_version"),
     )
+
+
+# specs as generators word them, one per event
+SPECS = {
+    "seq": "event_id",
+    "tag": _pick(
+        8, "'function_name_mismatch'", "'missing_code_block'", "'markdown_formatting'", "'syntax_error'",
+        "'logic_error'", "'non_executable_code'", "'state_tracking'", "'syntax_error'",
+    ),
+    "cover_text": _pick(
+        9,
+        f"'exact callable entry point f_' || {UID} || '(x);single exact public function contract'",
+        f"'Require executable Java code output with the `f_' || {UID} || '` method'",
+        "'Raw executable code output; raw executable code output ;Return the sum'",
+        "'Require syntactically complete executable code.'",
+        f"'Require runnable code output;public static int run_' || {UID} || '(int x)'",
+        "'logic_error;Return only the sorted list'",
+        "'Harness entry point solve(x)'",
+        "'plain executable code; ;PLAIN executable code'",
+        "''",
+    ),
+    "avoid_text": _pick(
+        7,
+        "'alternate public function names'",
+        "'explanation-only answers;prose-only final responses'",
+        "'Do not wrap in markdown fences, backticks or code fences'",
+        "'incomplete code;missing colons'",
+        "'avoid duplicates of spec-0001;Do not rename the public callable'",
+        "'repair feasibility issue: no code; KEEP this ;keep this;Repair diversity issue: near'",
+        "''",
+    ),
+    "trap": _pick(
+        5,
+        f"'Reference the original evidence: ' || {COMPLETION}",
+        "'An explanation replaces the callable solve function'",
+        f"'The case fails for f_' || {UID} || ' with an empty input'",
+        f"'Case ' || {NUM}",
+        "'Return only a flat list, the program must not print numpy output'",
+    ),
+    "solution_hint": _pick(3, f"'Call g_' || {UID} || '(x) first'", "'Sort the list'", f"'Use f_' || {UID} || '(x)'"),
+    "wrong_line": COMPLETION,
+    "correct_approach": LOG["correct_approach"],
+    "failed_test": TEST_CODE,
+    "difficulty": _pick(2, "'medium'", "'hard'"),
+    "scale": _pick(3, "'small'", "'medium'", "'large'"),
+    "fault_type": LOG["fault_type"],
+    "cause": f"'Grouped by x/y for ' || {NUM}",
+    "cliff": "'stays unstable under repeated similar tasks.'",
+}
+SPECS_SQL = _cte("specs", SPECS, "events")
+
+
+def specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spec texts made from ``events``; lists are split from their text."""
+    view = _view(spark, sf_dir, SPECS)
+    return view.withColumns(
+        {
+            "cover": F.split("cover_text", ";"),
+            "avoid": F.split("avoid_text", ";"),
+            "sub_tags": F.array("tag"),
+            "evidence": F.struct("wrong_line", "correct_approach", "failed_test"),
+        }
+    )
