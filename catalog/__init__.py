@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ["ingest", "diagnosis", "budgets", "aggregation", "planning", "texts"]
+GROUPS = ["ingest", "diagnosis", "budgets", "aggregation", "planning", "texts", "projection", "overview"]
 
 
 def load():

@@ -5,8 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from catalog import sqltext as s
-from catalog.aggregation import CHAIN_SQL, diagnoses
-from catalog.aggregation import report as fresh_report
+from catalog.aggregation import CHAIN_SQL, diagnoses, report
 from catalog.registry import query, table
 from weakspot import fixed_values as fixed
 
@@ -23,11 +22,6 @@ allocated AS (SELECT top.*, top.key = (SELECT tags[1] FROM chain) AS is_root,
       + CASE WHEN trainability >= 0.8 THEN 1 ELSE 0 END, 8) AS INTEGER) AS n_slots FROM top),
 slot_rows AS (SELECT *, CAST(unnest(range(n_slots)) AS INTEGER) AS slot FROM allocated)"""
 
-
-def report(spark, sf):
-    return fresh_report(spark, sf).settled()
-
-
 # one weakness per user: their events as frequency, keys shared by many users
 USER_WEAKNESS_SQL = """user_weak AS (
   SELECT CAST(user_id AS INTEGER) AS rank, CASE user_id % 5 WHEN 0 THEN 'modeling' WHEN 1 THEN 'surface' ELSE 'implementation' END AS fault_type,
@@ -96,8 +90,8 @@ samples AS (
 first_three AS MATERIALIZED (SELECT key, nth - 1 AS pos, wrong_line, correct_approach, failed_test FROM samples WHERE nth <= 3)"""
 
 
-def evidence_samples(spark, sf):
-    found = report(spark, sf)
+def evidence_samples(spark, sf, found=None):
+    found = found or report(spark, sf)
     ids = F.when(F.col("rank").isin(1, 5), F.array(F.lit(-1).cast("bigint"))).otherwise(F.reverse("sample_task_ids"))
     weak = found.weaknesses.withColumn("sample_task_ids", ids)
     return sl.sample_evidence(weak, diagnoses(spark, sf), found.tag_map)
@@ -127,11 +121,12 @@ SELECT a.key, a.slot, coalesce(t.wrong_line, 'Representative ' || a.key || ' fai
   coalesce(t.failed_test, 'Representative failure unavailable for ' || a.key) AS failed_test
 FROM all_slots a LEFT JOIN n USING (key) LEFT JOIN first_three t ON t.key = a.key AND t.pos = a.slot % n.n""")
 def slot_evidence(spark, sf):
-    keys = sl.first_per_key(report(spark, sf).weaknesses).select("key").union(
+    found = report(spark, sf)
+    keys = sl.first_per_key(found.weaknesses).select("key").union(
         table(spark, sf, "events").select(F.concat(F.lit("lost_"), "event_type")).distinct()
     )
     slots = keys.select("key", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("slot"))
-    return sl.with_slot_evidence(slots, evidence_samples(spark, sf)).select(
+    return sl.with_slot_evidence(slots, evidence_samples(spark, sf, found)).select(
         "key", F.col("slot").cast("bigint").alias("slot"), "evidence.*"
     )
 

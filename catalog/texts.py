@@ -45,7 +45,8 @@ def language_sql(text: str, guarded: bool = False) -> str:
 
 @query(f"WITH {LOG_SQL} SELECT task_id, {language_sql(EVIDENCE_TEXT)} AS language FROM log")
 def language_of_evidence(spark, sf):
-    return log(spark, sf).select("task_id", lg.primary_language(lg.evidence_text(F.col("evidence"))).alias("language"))
+    rows = log(spark, sf).withColumn("t", lg.evidence_text(F.col("evidence")))
+    return rows.select("task_id", lg.primary_language(F.col("t")).alias("language"))
 
 
 @query(f"""SELECT 'page' AS kind, page_id AS id, {language_sql('html', True)} AS language FROM pages
@@ -88,8 +89,9 @@ _SIGNALS = [name for name, _, _ in fixed.CONTRACT_SIGNALS]
 SELECT seq, {', '.join(f'{n} IS NOT NULL AS {n}' for n in _SIGNALS)},
   array_to_string(list_filter([{', '.join(_SIGNALS)}], lambda p: p IS NOT NULL), '|') AS matched_phrases FROM found""")
 def contract_signals(spark, sf):
-    found = ct.signal_phrases(F.col("cover"), F.col("avoid"))
-    return specs(spark, sf).select(
+    found = ct.signal_phrases(F.col("c"), F.col("a"))
+    rows = specs(spark, sf).withColumns({"c": ct.note_text(F.col("cover")), "a": ct.note_text(F.col("avoid"))})
+    return rows.select(
         "seq", *[column.isNotNull().alias(name) for name, column in found.items()],
         F.array_join(F.array(*found.values()), "|").alias("matched_phrases"),
     )

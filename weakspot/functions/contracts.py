@@ -5,18 +5,20 @@ from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
 from weakspot.functions.language import code_phrase
-from weakspot.functions.names import entry_points, function_names, resolve_target
+from weakspot.functions.names import entry_points, function_names
 from weakspot.functions.text import (
-    append_missing, contains_any, distinct_notes, first, last, lookup, strings, strip,
+    append_missing, contains_any, distinct_notes, first, last, let, lookup, one_of, strings, strip,
 )
 
 
-def signal_phrases(cover: Column, avoid: Column) -> dict[str, Column]:
+def note_text(notes: Column) -> Column:
+    """Notes as the one text in which phrases are looked for."""
+    return F.lower(F.array_join(notes, " "))
+
+
+def signal_phrases(cover_text: Column, avoid_text: Column) -> dict[str, Column]:
     """First phrase found for each contract signal, null when there is none."""
-    text = {
-        "cover": F.lower(F.array_join(cover, " ")),
-        "avoid": F.lower(F.array_join(avoid, " ")),
-    }
+    text = {"cover": cover_text, "avoid": avoid_text}
     return {
         name: F.coalesce(*[F.when(F.contains(text[side], F.lit(p)), F.lit(p)) for p in phrases])
         for name, side, phrases in fixed.CONTRACT_SIGNALS
@@ -56,22 +58,42 @@ def retry_mode(reason: Column, modes, default: str) -> Column:
     return chain.otherwise(F.lit(default))
 
 
+def _named_note(tag: str, name: Column) -> Column:
+    """The cover note of a tag that mentions the entry point."""
+    note = fixed.AUGMENTED_COVER[tag]
+    generic = fixed.AUGMENTED_COVER_GENERIC.get(tag, note % fixed.GENERIC_ENTRYPOINT)
+    return F.when(name.isNull(), F.lit(generic)).otherwise(F.format_string(note, name))
+
+
 def augment_cover(tags: Column, cover: Column, cause: Column, cliff: Column) -> Column:
     """Add the note each tag calls for; names come from the notes so far."""
+
+    def step(tag, note):
+        def grow(notes):
+            if "%s" not in note:
+                grown = append_missing(notes, F.lit(note))
+            else:
+                text = F.concat_ws(" ", F.array_join(notes, " "), cause, cliff)
+                grown = let(
+                    last(let(text, lambda t: function_names(t))),
+                    lambda name: let(_named_note(tag, name), lambda line: append_missing(notes, line)),
+                )
+            return F.when(has_tag(tags, tag), grown).otherwise(notes)
+        return grow
+
     for tag, note in fixed.AUGMENTED_COVER.items():
-        line = F.lit(note)
-        if "%s" in note:
-            text = F.concat_ws(" ", F.array_join(cover, " "), cause, cliff)
-            name = last(function_names(text))
-            generic = fixed.AUGMENTED_COVER_GENERIC.get(tag, note % fixed.GENERIC_ENTRYPOINT)
-            line = F.when(name.isNull(), F.lit(generic)).otherwise(F.format_string(note, name))
-        cover = F.when(has_tag(tags, tag), append_missing(cover, line)).otherwise(cover)
+        cover = let(cover, step(tag, note))
     return cover
 
 
 def augment_avoid(tags: Column, avoid: Column) -> Column:
+    def step(tag, note):
+        return lambda notes: F.when(
+            has_tag(tags, tag), append_missing(notes, F.lit(note))
+        ).otherwise(notes)
+
     for tag, note in fixed.AUGMENTED_AVOID.items():
-        avoid = F.when(has_tag(tags, tag), append_missing(avoid, F.lit(note))).otherwise(avoid)
+        avoid = let(avoid, step(tag, note))
     return avoid
 
 
@@ -88,7 +110,7 @@ def without_process_notes(items: Column) -> Column:
 
 def entry_point(items: Column) -> Column:
     """Callable the notes and hints name first, by kind of mention."""
-    return first(entry_points(F.array_join(items, " "), errors=False))
+    return first(let(F.array_join(items, " "), lambda text: entry_points(text, errors=False)))
 
 
 def target_contract(target: Column, side: int) -> Column:
@@ -101,16 +123,14 @@ def target_contract(target: Column, side: int) -> Column:
 
 
 def normalized_contract(
-    tags: Column, cover: Column, avoid: Column, items: Column, language: Column, evidence: Column
+    tags: Column, cover: Column, avoid: Column, name: Column, target: Column, language: Column
 ) -> Column:
-    """Cover and avoid lists by tag, language and entry point.
+    """Cover and avoid lists by tag, language, entry point and public target.
 
-    ``items`` are the texts that may name the entry point.  Rows of another tag
-    keep their own notes, minus the ones about the process.
+    Rows of another tag keep their own notes, minus the ones about the process.
+    ``name`` and ``target`` are used in several branches: pass columns.
     """
     key = F.coalesce(first(tags), F.lit(""))
-    target = resolve_target(evidence, items)
-    name = entry_point(items)
     phrase = code_phrase(language)
 
     solution = (
@@ -125,7 +145,7 @@ def normalized_contract(
     definition = F.when(name.isNotNull(), F.format_string(fixed.VALID_DEFINITION_COVER, name))
     malformed = (
         F.when(language == "java", F.lit(fixed.MALFORMED_AVOID_JAVA))
-        .when(language.isin(*fixed.PUNCTUATED_LANGUAGES), F.lit(fixed.MALFORMED_AVOID_PUNCTUATED))
+        .when(one_of(language, fixed.PUNCTUATED_LANGUAGES), F.lit(fixed.MALFORMED_AVOID_PUNCTUATED))
         .otherwise(F.lit(fixed.MALFORMED_AVOID))
     )
     by_tag = {

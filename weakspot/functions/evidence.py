@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
-from weakspot.functions.text import contains_any, extract_all, let, lookup, norm, strip
+from weakspot.functions.text import contains_any, extract_all, let, lookup, norm, one_of, strip
 
 # what ends a line of a multi-line answer
 LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
@@ -20,7 +20,7 @@ def _identifiers(evidence: Column) -> Column:
     names = F.transform(F.concat(extract_all(evidence, fixed.DEFINED_NAME), words), F.lower)
     return F.filter(
         names,
-        lambda n: (F.length(n) >= 4) & ~n.isin(*fixed.GROUNDING_IDENTIFIER_EXCEPTIONS),
+        lambda n: (F.length(n) >= 4) & ~one_of(n, fixed.GROUNDING_IDENTIFIER_EXCEPTIONS),
     )
 
 
@@ -40,7 +40,7 @@ def _shares_phrase(candidate: Column, evidence: Column) -> Column:
 def _shares_token(candidate: Column, evidence: Column) -> Column:
     words = F.filter(
         extract_all(F.lower(evidence), fixed.EVIDENCE_TOKEN, group=0),
-        lambda w: ~w.isin(*fixed.GROUNDING_STOP_WORDS),
+        lambda w: ~one_of(w, fixed.GROUNDING_STOP_WORDS),
     )
     return F.exists(words, lambda w: F.contains(candidate, w))
 

@@ -4,7 +4,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
-from weakspot.functions.text import contains_any, extract_all, first, last, strings, strip
+from weakspot.functions.text import (
+    contains_any, extract_all, first, last, let, one_of, strings, strip,
+)
 
 
 def _all_groups(text: Column, patterns, flags: str = "") -> Column:
@@ -21,7 +23,7 @@ def entry_points(text: Column, errors: bool = True) -> Column:
     """Callables a text presents as entry points; ``errors`` also reads NameErrors."""
     patterns = [p for p in fixed.ENTRYPOINT_PATTERNS if errors or p != fixed.NAME_ERROR_PATTERN]
     return F.filter(
-        _all_groups(text, patterns), lambda n: ~F.lower(n).isin(*fixed.ENTRYPOINT_STOP_WORDS)
+        _all_groups(text, patterns), lambda n: ~one_of(F.lower(n), fixed.ENTRYPOINT_STOP_WORDS)
     )
 
 
@@ -76,41 +78,44 @@ def resolve_target(evidence: Column, items: Column) -> Column:
     in_field = lambda field: first(
         contract_targets(F.coalesce(evidence[field], F.lit("")))
     )
-    in_items = first(F.flatten(F.transform(items, lambda item: contract_targets(strip(item)))))
+    in_items = first(F.flatten(F.transform(F.transform(items, strip), lambda item: contract_targets(item))))
     return F.coalesce(
         in_field("correct_approach"), in_field("failed_test"), in_items, in_field("wrong_line")
     )
 
 
 def target_phrase(target: Column) -> Column:
-    return F.when(
-        target.isNotNull(), F.format_string(fixed.TARGET_FORMAT, target["kind"], target["name"])
-    ).otherwise(F.lit(fixed.NO_TARGET))
+    return let(
+        target,
+        lambda t: F.when(
+            t.isNotNull(), F.format_string(fixed.TARGET_FORMAT, t["kind"], t["name"])
+        ).otherwise(F.lit(fixed.NO_TARGET)),
+    )
 
 
 def wrong_target_phrase(wrong_line: Column) -> Column:
     """What the wrong line exposes instead of the target."""
     text = F.coalesce(wrong_line, F.lit(""))
-    fragment = strip(text)
-    named = lambda kind, names: F.when(
-        first(names).isNotNull(),
-        F.format_string(fixed.WRONG_TARGET_FORMAT, F.lit(kind), first(names)),
-    )
+
+    def named(kind, names):
+        return let(
+            first(names),
+            lambda name: F.when(
+                name.isNotNull(), F.format_string(fixed.WRONG_TARGET_FORMAT, F.lit(kind), name)
+            ),
+        )
+
+    fragment = F.substring(strip(text), 1, 80)
     return F.coalesce(
         named("attribute", _dotted(text)),
         named("function", entry_points(text)),
         named("symbol", _identifiers(text)),
-        F.when(
-            fragment != "",
-            F.format_string(fixed.WRONG_SHAPE_FORMAT, F.substring(fragment, 1, 80)),
-        ),
+        F.when(fragment != "", F.format_string(fixed.WRONG_SHAPE_FORMAT, fragment)),
         F.lit(fixed.NO_WRONG_TARGET),
     )
 
 
 def ungrounded_names(spec_text: Column, evidence_text: Column) -> Column:
     """Names a spec text uses that its evidence does not, sorted."""
-    allowed = F.concat(function_names(evidence_text), strings(fixed.UNGROUNDED_NAMES_ALLOWED))
-    return F.array_sort(F.array_except(function_names(spec_text), allowed))
-
-
+    allowed = F.concat(let(evidence_text, lambda t: function_names(t)), strings(fixed.UNGROUNDED_NAMES_ALLOWED))
+    return F.array_sort(F.array_except(let(spec_text, lambda t: function_names(t)), allowed))

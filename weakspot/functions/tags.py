@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
-from weakspot.functions.text import first, let, lookup, norm, strings, strip
+from weakspot.functions.text import first, let, lookup, norm, one_of, strings, strip
 
 
 def clean_tag(tag: Column) -> Column:
@@ -18,7 +18,7 @@ def diagnosis_tag(tag: Column) -> Column:
 def report_tag(tag: Column) -> Column:
     """One of the six canonical tags; anything unknown is a logic error."""
     known = lookup(strip(tag), fixed.REPORT_TAG_ALIASES, strip(tag))
-    return F.when(known.isin(*fixed.CANONICAL_TAGS), known).otherwise(F.lit("logic_error"))
+    return F.when(one_of(known, fixed.CANONICAL_TAGS), known).otherwise(F.lit("logic_error"))
 
 
 def primary_tags(tags: Column) -> Column:
@@ -27,7 +27,7 @@ def primary_tags(tags: Column) -> Column:
     return let(
         F.array_distinct(F.transform(cleaned, diagnosis_tag)),
         lambda known: let(
-            F.filter(known, lambda t: ~t.isin(*fixed.SUCCESS_TAGS)),
+            F.filter(known, lambda t: ~one_of(t, fixed.SUCCESS_TAGS)),
             lambda failing: F.when(F.size(failing) > 0, F.slice(failing, 1, 1))
             .when(F.size(known) > 0, known)
             .otherwise(strings(["unknown"])),
@@ -36,13 +36,13 @@ def primary_tags(tags: Column) -> Column:
 
 
 def only_success(tags: Column) -> Column:
-    return (F.size(tags) > 0) & F.forall(tags, lambda t: t.isin(*fixed.SUCCESS_TAGS))
+    return (F.size(tags) > 0) & F.forall(tags, lambda t: one_of(t, fixed.SUCCESS_TAGS))
 
 
 def taxonomy_error(source: Column, tags: Column) -> Column:
     """Null when the tags stay inside the allowed sets, else what is wrong."""
     outside = F.filter(
-        tags, lambda t: ~t.isin(*fixed.CANONICAL_TAGS) & ~t.isin(*fixed.SUCCESS_TAGS)
+        tags, lambda t: ~one_of(t, fixed.CANONICAL_TAGS) & ~one_of(t, fixed.SUCCESS_TAGS)
     )
     listed = F.concat(
         F.lit("["),
@@ -53,7 +53,7 @@ def taxonomy_error(source: Column, tags: Column) -> Column:
         F.when(source == "non_failure", F.lit(None).cast("string"))
         .when(F.size(tags) == 0, F.lit("Diagnosis must include at least one sub_tag."))
         .when(
-            ~first(tags).isin(*fixed.CANONICAL_TAGS),
+            ~one_of(first(tags), fixed.CANONICAL_TAGS),
             F.format_string("Primary sub_tag '%s' is outside the allowed taxonomy.", first(tags)),
         )
         .when(
@@ -78,7 +78,7 @@ def is_failure(source: Column, tags: Column, labels: Column, evidence: Column) -
     )
     return (
         F.when(source == "non_failure", F.lit(False))
-        .when(F.exists(normalized, lambda t: ~t.isin(*fixed.SUCCESS_TAGS)), F.lit(True))
+        .when(F.exists(normalized, lambda t: ~one_of(t, fixed.SUCCESS_TAGS)), F.lit(True))
         .when(F.size(tags) > 0, F.lit(False))
         .when(labelled("status", "correct_solution"), F.lit(False))
         .when(labelled("test_result", "pass"), F.lit(False))

@@ -62,21 +62,32 @@ def last(array: Column) -> Column:
     return F.try_element_at(array, F.lit(-1))
 
 
+def quoted(value: str) -> str:
+    """SQL literal of a string."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strings(values) -> Column:
     """Array literal; typed even when empty."""
     values = list(values)
-    return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
+    if not values:
+        return F.array().cast("array<string>")
+    return F.expr(f"array({', '.join(map(quoted, values))})")
 
 
 def lookup(key: Column, table: dict, default=None) -> Column:
-    """Map ``key`` through a fixed table with one comparison chain."""
-    by_value: dict = {}
-    for source, target in table.items():
-        by_value.setdefault(target, []).append(source)
-    chain = F
-    for target, sources in by_value.items():
-        chain = chain.when(key.isin(*sources), F.lit(target))
-    return chain.otherwise(default if isinstance(default, Column) else F.lit(default))
+    """Value of ``key`` in a fixed table."""
+    entries = ", ".join(
+        f"{quoted(k)}, {quoted(v) if isinstance(v, str) else f'{v}D' if isinstance(v, float) else v}"
+        for k, v in table.items()
+    )
+    found = F.try_element_at(F.expr(f"map({entries})"), key)
+    return found if default is None else F.coalesce(found, default if isinstance(default, Column) else F.lit(default))
+
+
+def one_of(value: Column, values) -> Column:
+    """The value is in a fixed list."""
+    return F.array_contains(strings(values), value)
 
 
 def contains_any(text: Column, phrases) -> Column:

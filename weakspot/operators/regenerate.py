@@ -97,8 +97,9 @@ def generated(
     Each round answers all pending slots at once.  Accepted ones leave, rejected
     ones go on with the reason and a retry hint, unusable answers and slots out
     of attempts take the fallback of their tag, and what the fallback cannot
-    serve is logged as failed.  Rounds with user callbacks are written, so a
-    callback answers a slot once per round.
+    serve is logged as failed.  Every round is written: a run has few slots, a
+    callback answers a slot once per round, and accepting and rejecting read the
+    outcome instead of working it out again.
     """
     view = view.withColumn(
         "repair_context",
@@ -114,9 +115,7 @@ def generated(
     # the default answer and the local checks do not depend on the retry notes:
     # a second round would repeat the first
     for round_number in range(attempts if hooked else 1):
-        done = _checked(sp.assembled(_answered(pending, generate)), check)
-        if hooked:
-            done = written(done, f"round-{round_number}")
+        done = written(_checked(sp.assembled(_answered(pending, generate)), check), f"round-{round_number}")
         fine = F.col("error").isNull() & F.col("accepted")
         accepted.append(done.filter(fine))
         dropped.append(done.filter("error IS NOT NULL").select(*columns, "error"))
@@ -147,9 +146,7 @@ def generated(
         view.select("slot_key", "notes"), "slot_key"
     ).withColumnRenamed("error", "_first_error")
     backed = sp.without_extra_syntax_notes(sp.assembled(sp.with_fallback_answer(lost)))
-    tried = _checked(backed, check)
-    if hooked:
-        tried = written(tried, "fallback")
+    tried = written(_checked(backed, check), "fallback")
     saved = F.col("error").isNull() & F.col("accepted")
     nothing = F.lit(None)
     events = _events(

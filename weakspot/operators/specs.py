@@ -9,19 +9,20 @@ from weakspot.functions import language as lg
 from weakspot.functions import names as nm
 from weakspot.functions.evidence import is_grounded, reference_line, summary
 from weakspot.functions.responses import response_gaps
-from weakspot.functions.text import distinct_notes, first, lookup, strings, strip
+from weakspot.functions.text import distinct_notes, first, lookup, one_of, pinned, strings, strip
 from weakspot.schemas import RESPONSE, SPEC
 
 
 def synthesis_view(slots: DataFrame) -> DataFrame:
     """Slots with the language and the summary of their evidence."""
-    language = lg.primary_language(lg.evidence_text(F.col("evidence")))
-    return slots.withColumns(
+    texts = slots.withColumn("_text", lg.evidence_text(F.col("evidence")))
+    found = pinned(texts, "primary_language", lg.primary_language(F.col("_text"))).drop("_text")
+    return found.withColumns(
         {
-            "primary_language": language,
             "canonical_summary": summary(F.col("key"), F.col("evidence")),
+            "inferred_languages": lg.declared_languages(F.col("primary_language")),
         }
-    ).withColumn("inferred_languages", lg.declared_languages(F.col("primary_language")))
+    )
 
 
 def _verification(cases: Column, edge: Column) -> Column:
@@ -78,7 +79,7 @@ def _fallback_parts(key: str, language: Column) -> dict:
         if f"{name}_java" in text:
             chain = chain.when(java, say(text[f"{name}_java"]))
         if f"{name}_punctuated" in text:
-            chain = chain.when(language.isin(*fixed.PUNCTUATED_LANGUAGES), say(text[f"{name}_punctuated"]))
+            chain = chain.when(one_of(language, fixed.PUNCTUATED_LANGUAGES), say(text[f"{name}_punctuated"]))
         return chain.otherwise(say(text[name]))
 
     points = F.col("_points")
@@ -169,28 +170,34 @@ def assembled(answered: DataFrame) -> DataFrame:
             ),
         }
     )
-    spec_text = F.concat_ws(" ", F.col("answer.key_trap"), F.array_join("_cover", " "), F.array_join("_avoid", " "), *context[1:])
-    evidence_text = F.concat_ws(
-        " ", "evidence.wrong_line", "evidence.correct_approach", "evidence.failed_test"
+    own_words = [F.col("answer.key_trap"), F.array_join("_cover", " "), F.array_join("_avoid", " "), *context[1:]]
+    evidence_words = [F.col(f"evidence.{n}") for n in ["wrong_line", "correct_approach", "failed_test"]]
+    named = F.concat("_cover", F.array(*context))
+    df = df.withColumns(
+        {
+            "_strange": F.when(
+                mismatch, nm.ungrounded_names(F.concat_ws(" ", *own_words), F.concat_ws(" ", *evidence_words))
+            ).otherwise(strings([])),
+            "_name": ct.entry_point(F.concat(named, F.array(cause, cliff))),
+            "_target": nm.resolve_target(F.col("evidence"), F.concat(named, F.array(cause, cliff))),
+            "_wanted": nm.target_phrase(nm.resolve_target(F.col("evidence"), named)),
+            "_unwanted": nm.wrong_target_phrase(F.col("evidence.wrong_line")),
+            "_all_avoid": distinct_notes(F.concat("_avoid", "notes")),
+        }
     )
-    strange = nm.ungrounded_names(spec_text, evidence_text)
-    quoted = F.array_join(F.transform(strange, lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", ")
+    quoted = F.array_join(F.transform("_strange", lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", ")
     error = (
         F.when(answer.isNull() | (F.size("_gaps") > 0), F.lit(fixed.ERROR_RESPONSE_SCHEMA))
         .when(~F.col("_grounded"), F.lit(fixed.ERROR_UNGROUNDED_TRAP))
-        .when(mismatch & (F.size(strange) > 0), F.format_string(fixed.ERROR_UNGROUNDED_NAMES_FORMAT, quoted))
+        .when(F.size("_strange") > 0, F.format_string(fixed.ERROR_UNGROUNDED_NAMES_FORMAT, quoted))
     )
-    all_avoid = distinct_notes(F.concat("_avoid", "notes"))
-    items = F.concat("_cover", F.array(*context), F.array(cause, cliff))
     contract = ct.normalized_contract(
-        tags, F.col("_cover"), all_avoid, items, F.col("_languages.target_languages")[0], F.col("evidence")
+        tags, F.col("_cover"), F.col("_all_avoid"), F.col("_name"), F.col("_target"),
+        F.col("_languages.target_languages")[0],
     )
-    target = nm.resolve_target(F.col("evidence"), F.concat("_cover", F.array(*context)))
-    wanted = nm.target_phrase(target)
-    unwanted = nm.wrong_target_phrase(F.col("evidence.wrong_line"))
-    trap = strip(F.format_string(fixed.NARRATIVE_TRAP_FORMAT, strip(answer["key_trap"]), wanted, unwanted))
+    trap = strip(F.format_string(fixed.NARRATIVE_TRAP_FORMAT, strip(answer["key_trap"]), F.col("_wanted"), F.col("_unwanted")))
     told = F.struct(
-        *[F.format_string(form, wanted).alias(name) for name, form in fixed.NARRATIVE_HINT_FORMATS.items()]
+        *[F.format_string(form, F.col("_wanted")).alias(name) for name, form in fixed.NARRATIVE_HINT_FORMATS.items()]
     )
     df = df.withColumn("error", error).withColumn("_contract", contract)
     return df.withColumns(
@@ -213,13 +220,24 @@ def assembled(answered: DataFrame) -> DataFrame:
             "language_constraint": F.col("_languages"),
             "prompt_version": F.lit(fixed.SPEC_VERSION),
         }
-    ).drop("_gaps", "_languages", "_cover", "_avoid", "_grounded", "_contract")
+    ).drop(
+        "_gaps", "_languages", "_cover", "_avoid", "_grounded", "_contract", "_strange", "_name", "_target",
+        "_wanted", "_unwanted", "_all_avoid",
+    )
 
 
 def linted(specs: DataFrame) -> DataFrame:
     """Specs with ``accepted``, ``reason`` and ``missing_contracts`` of the local checks."""
     tags = F.col("target_weakness.sub_tags")
-    signals = ct.signal_phrases(F.col("problem_spec.must_cover"), F.col("problem_spec.must_avoid"))
+    texts = specs.withColumns(
+        {
+            "_cover_text": ct.note_text(F.col("problem_spec.must_cover")),
+            "_avoid_text": ct.note_text(F.col("problem_spec.must_avoid")),
+        }
+    )
+    found = F.struct(*[c.alias(n) for n, c in ct.signal_phrases(F.col("_cover_text"), F.col("_avoid_text")).items()])
+    specs = texts.withColumn("_signals", found).drop("_cover_text", "_avoid_text")
+    signals = {name: F.col(f"_signals.{name}") for name, _, _ in fixed.CONTRACT_SIGNALS}
     grounded = is_grounded(
         F.col("problem_spec.key_trap"), F.col("evidence.wrong_line"), F.col("evidence.correct_approach")
     )
@@ -235,7 +253,7 @@ def linted(specs: DataFrame) -> DataFrame:
         )
         .withColumn("accepted", F.col("_reason").isNull())
         .withColumn("reason", F.coalesce("_reason", F.lit(fixed.LINT_ACCEPTED_REASON)))
-        .drop("_reason")
+        .drop("_reason", "_signals")
     )
 
 
@@ -245,7 +263,7 @@ def without_extra_syntax_notes(fallbacks: DataFrame) -> DataFrame:
     own = fixed.FALLBACK_TEXT["syntax_error"]
     listed = (
         F.when(language == "java", strings(own["avoid_java"]))
-        .when(language.isin(*fixed.PUNCTUATED_LANGUAGES), strings(own["avoid_punctuated"]))
+        .when(one_of(language, fixed.PUNCTUATED_LANGUAGES), strings(own["avoid_punctuated"]))
         .otherwise(strings(own["avoid"]))
     )
     rewritten = F.col("problem_spec").withField("must_avoid", F.concat(listed, F.col("notes")))

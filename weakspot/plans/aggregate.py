@@ -25,13 +25,6 @@ class Report(NamedTuple):
     def document(self) -> DataFrame:
         return report.as_document(*self)
 
-    def settled(self) -> "Report":
-        """The report written once as its one-row document and read back.
-
-        Stages that use it several times then read a few rows instead of
-        aggregating the facts again.
-        """
-        return Report(**report.from_document(written(self.document(), "report")))
 
 
 def aggregate(
@@ -47,7 +40,8 @@ def aggregate(
     """Weakness report of the failures among ``diagnoses``.
 
     The diagnoses are reduced right away to partials per fault type and tag,
-    which are written; everything else works on those.
+    which are written, as is the weakness table made from them; everything else
+    works on those two small tables.
 
     ``collective`` and ``causal`` are analyzers (see ``operators.collective``);
     ``on_events`` receives the log of answers that had to be replaced.
@@ -71,7 +65,9 @@ def aggregate(
             on_events(merged.filter("problem IS NOT NULL"))
 
     narratives = cl.narratives_by_key(merged)
-    rows = report.weaknesses(cl.clusters(cl.final(parts, None if edges is None else resolved)), narratives)
+    final = cl.clusters(cl.final(parts, None if edges is None else resolved))
+    # at most 35 rows, read by every later step
+    rows = written(report.weaknesses(final, narratives), "weaknesses")
     chains = report.default_chains(rows) if causal is None else causal(rows)
     tag_map = resolved.select("source", report_tag(F.col("target")).alias("target"))
     return Report(rows, report.rankings(rows), chains, tag_map)

@@ -96,7 +96,6 @@ def synthesize(
     check: Callable | None = None,
 ) -> Synthesis:
     """Spec rows for the top weaknesses, and the events of their making."""
-    report = report.settled()
     slot_rows = with_notes(planned_slots(report, diagnoses, prior, settings), prior)
     view = sp.synthesis_view(
         slot_rows.withColumn("slot_key", F.concat_ws("#", "key", F.col("slot").cast("string")))

@@ -8,6 +8,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # plans are built from many small expressions; recording a stack trace for
+    # each takes longer than building it
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
 from weakspot.functions.responses import field, kind, text_or_empty
-from weakspot.functions.text import first
+from weakspot.functions.text import first, one_of
 from weakspot.schemas import TASK
 from weakspot.sources import jsonl
 
@@ -104,7 +104,7 @@ def kept_labels(labels_json: Column) -> Column:
     """Labels without the housekeeping keys; anything but an object has none."""
     labels = F.from_json(labels_json, "map<string,string>")
     return F.coalesce(
-        F.map_filter(labels, lambda k, _: ~k.isin(*fixed.HOUSEKEEPING_LABELS)),
+        F.map_filter(labels, lambda k, _: ~one_of(k, fixed.HOUSEKEEPING_LABELS)),
         F.create_map().cast("map<string,string>"),
     )
 
