@@ -73,15 +73,20 @@ def contract_targets(text: Column) -> Column:
     )
 
 
+def first_targets(evidence: Column, items: Column) -> Column:
+    """First target of each text (null without one): expected texts, items, then the wrong line."""
+    field = lambda name: F.coalesce(evidence[name], F.lit(""))
+    texts = F.concat(
+        F.array(field("correct_approach"), field("failed_test")),
+        F.transform(items, strip),
+        F.array(field("wrong_line")),
+    )
+    return F.transform(texts, lambda text: first(contract_targets(text)))
+
+
 def resolve_target(evidence: Column, items: Column) -> Column:
     """Target the evidence asks for, else the first one of the items, else the wrong line's."""
-    in_field = lambda field: first(
-        contract_targets(F.coalesce(evidence[field], F.lit("")))
-    )
-    in_items = first(F.flatten(F.transform(F.transform(items, strip), lambda item: contract_targets(item))))
-    return F.coalesce(
-        in_field("correct_approach"), in_field("failed_test"), in_items, in_field("wrong_line")
-    )
+    return first(F.array_compact(first_targets(evidence, items)))
 
 
 def target_phrase(target: Column) -> Column:

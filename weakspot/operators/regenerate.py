@@ -92,7 +92,7 @@ def _events(rows: DataFrame, event: Column, error: Column, message: Column) -> D
 def generated(
     view: DataFrame, generate: Generator | None = None, check: Checker | None = None, attempts: int = 3
 ) -> tuple[DataFrame, DataFrame]:
-    """Accepted specs and log events of the slots in a synthesis view.
+    """Accepted specs and log events of the slots in a (written) synthesis view.
 
     Each round answers all pending slots at once.  Accepted ones leave, rejected
     ones go on with the reason and a retry hint, unusable answers and slots out
@@ -115,6 +115,8 @@ def generated(
     # the default answer and the local checks do not depend on the retry notes:
     # a second round would repeat the first
     for round_number in range(attempts if hooked else 1):
+        if round_number and pending.isEmpty():
+            break
         done = written(_checked(sp.assembled(_answered(pending, generate)), check), f"round-{round_number}")
         fine = F.col("error").isNull() & F.col("accepted")
         accepted.append(done.filter(fine))
@@ -141,6 +143,8 @@ def generated(
         .select(*columns, "error")
     )
 
+    keep = ["rank", "slot", "key", "target_weakness", "problem_spec", "verification_spec",
+            "diversity_tags", "generation_hints", "language_constraint", "prompt_version"]
     # the fallback starts from the notes a slot had at first
     lost = union_all(dropped).drop("notes", "repair_context").join(
         view.select("slot_key", "notes"), "slot_key"
@@ -154,7 +158,5 @@ def generated(
     ).unionByName(
         _events(tried.filter(~saved), nothing, F.lit("spec_generation_failed"), F.col("_first_error"))
     )
-    keep = ["rank", "slot", "key", "target_weakness", "problem_spec", "verification_spec",
-            "diversity_tags", "generation_hints", "language_constraint", "prompt_version"]
     rows = union_all([part.select(*keep) for part in [*accepted, tried.filter(saved)]])
     return rows, events

@@ -179,12 +179,19 @@ def assembled(answered: DataFrame) -> DataFrame:
                 mismatch, nm.ungrounded_names(F.concat_ws(" ", *own_words), F.concat_ws(" ", *evidence_words))
             ).otherwise(strings([])),
             "_name": ct.entry_point(F.concat(named, F.array(cause, cliff))),
-            "_target": nm.resolve_target(F.col("evidence"), F.concat(named, F.array(cause, cliff))),
-            "_wanted": nm.target_phrase(nm.resolve_target(F.col("evidence"), named)),
+            "_targets": nm.first_targets(F.col("evidence"), F.concat(named, F.array(cause, cliff))),
             "_unwanted": nm.wrong_target_phrase(F.col("evidence.wrong_line")),
             "_all_avoid": distinct_notes(F.concat("_avoid", "notes")),
         }
     )
+    # the narrative is told without the cause and the cliff, the last two items
+    told_from = F.concat(F.slice("_targets", F.lit(1), F.size("_targets") - 3), F.slice("_targets", -1, 1))
+    df = df.withColumns(
+        {
+            "_target": first(F.array_compact("_targets")),
+            "_wanted": nm.target_phrase(first(F.array_compact(told_from))),
+        }
+    )
     quoted = F.array_join(F.transform("_strange", lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", ")
     error = (
         F.when(answer.isNull() | (F.size("_gaps") > 0), F.lit(fixed.ERROR_RESPONSE_SCHEMA))
@@ -222,7 +229,7 @@ def assembled(answered: DataFrame) -> DataFrame:
         }
     ).drop(
         "_gaps", "_languages", "_cover", "_avoid", "_grounded", "_contract", "_strange", "_name", "_target",
-        "_wanted", "_unwanted", "_all_avoid",
+        "_wanted", "_unwanted", "_all_avoid", "_targets",
     )
 
 

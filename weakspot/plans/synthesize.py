@@ -12,6 +12,7 @@ from weakspot.operators import regenerate as rg
 from weakspot.operators import slots as sl
 from weakspot.operators import specs as sp
 from weakspot.plans.aggregate import Report
+from weakspot.sources.artifacts import written
 
 
 class Settings(NamedTuple):
@@ -97,8 +98,7 @@ def synthesize(
 ) -> Synthesis:
     """Spec rows for the top weaknesses, and the events of their making."""
     slot_rows = with_notes(planned_slots(report, diagnoses, prior, settings), prior)
-    view = sp.synthesis_view(
-        slot_rows.withColumn("slot_key", F.concat_ws("#", "key", F.col("slot").cast("string")))
-    )
+    named = slot_rows.withColumn("slot_key", F.concat_ws("#", "key", F.col("slot").cast("string")))
+    view = written(sp.synthesis_view(named), "slots")
     rows, events = rg.generated(view, generate, check, settings.max_regeneration_attempts + 1)
-    return Synthesis(sp.spec_rows(sp.numbered(rows)), events, slot_rows)
+    return Synthesis(sp.spec_rows(sp.numbered(rows)), events, view)
