@@ -22,7 +22,7 @@ def diagnoses(spark, sf):
 
 
 def partials(spark, sf):
-    return cl.partials(repaired(dg.failures(diagnoses(spark, sf))))
+    return cl.partials(cl.keyed(repaired(dg.failures(diagnoses(spark, sf)))))
 
 
 def report(spark, sf):
@@ -83,7 +83,7 @@ SELECT fault_type, tag, 'Grouped by ' || fault_type || '/' || tag || ' (verifica
 FROM labelled GROUP BY fault_type, tag""")
 def cluster_causes(spark, sf):
     """Cause texts with the labels of rows that were not verified again."""
-    named = cl.named(cl.partials(dg.failures(diagnoses(spark, sf))))
+    named = cl.named(cl.partials(cl.keyed(dg.failures(diagnoses(spark, sf)))))
     return cl.clusters(named).select("fault_type", "tag", cl.root_cause().alias("root_cause"))
 
 

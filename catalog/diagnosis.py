@@ -36,8 +36,8 @@ def document_rule_hits(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
     bench = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("b"))
     text = F.concat_ws("\n", "text", F.coalesce("b", F.lit("")))
-    hit = docs.join(bench, "doc_id", "left").select("quality", ru.first_hit(text)["rule_id"].alias("rule_id"))
-    return hit.groupBy("quality", "rule_id").agg(F.count(F.lit(1)).alias("texts"))
+    whole = docs.join(bench, "doc_id", "left").select("quality", text.alias("whole"))
+    return ru.with_first_hit(whole, "whole").groupBy("quality", "rule.rule_id").agg(F.count(F.lit(1)).alias("texts"))
 
 
 _ALL_RULES = "[" + ", ".join(
@@ -81,7 +81,7 @@ def composed_rule_hits(spark, sf):
         CUSTOM, disabled=["R008", "R012", "C_OFF"], severities=_SEVERITIES, order=["R010", "C_SUB"]
     )
     text = dg.screening_text(F.col("content"), F.col("completion"), F.col("test_code"))
-    hit = tasks(spark, sf).select(ru.first_hit(text, rules).alias("rule"))
+    hit = ru.with_first_hit(tasks(spark, sf).select(text.alias("text")), "text", rules)
     return hit.groupBy("rule.rule_id", "rule.priority", "rule.severity").agg(F.count(F.lit(1)).alias("tasks"))
 
 

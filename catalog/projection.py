@@ -114,7 +114,12 @@ def template_contracts(spark, sf):
     """Cover and avoid lists by tag, language, entry point and target."""
     items = F.concat("cover", F.array("trap"))
     rows = view(spark, sf).withColumns(
-        {"name": ct.entry_point(items), "target": nm.resolve_target(F.col("evidence"), items)}
+        {
+            "name": F.when(ct.names_entry_point(F.col("sub_tags")), ct.entry_point(items)),
+            "target": F.when(
+                ct.has_tag(F.col("sub_tags"), "function_name_mismatch"), nm.resolve_target(F.col("evidence"), items)
+            ),
+        }
     )
     contract = ct.normalized_contract(
         F.col("sub_tags"), F.col("cover"), F.col("avoid"), F.col("name"), F.col("target"),

@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weakspot.sources.scans import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -23,5 +25,9 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
+FACTS = {"events", "documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scanned = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scanned) if name in FACTS else scanned

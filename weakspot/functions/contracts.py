@@ -113,6 +113,11 @@ def entry_point(items: Column) -> Column:
     return first(let(F.array_join(items, " "), lambda text: entry_points(text, errors=False)))
 
 
+def names_entry_point(tags: Column) -> Column:
+    """Tags whose contract names the entry point."""
+    return one_of(first(tags), ["missing_code_block", "syntax_error"])
+
+
 def target_contract(target: Column, side: int) -> Column:
     chain = F
     for kind, lines in fixed.TARGET_CONTRACT.items():

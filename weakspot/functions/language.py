@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
-from weakspot.functions.text import extract_all, first, lookup, matches, strings
+from weakspot.functions.text import contains_any, extract_all, first, lookup, matches, strings
 
 
 def _from_fence(text: Column) -> Column:
@@ -16,21 +16,40 @@ def _from_fence(text: Column) -> Column:
     return first(F.array_compact(known))
 
 
-def _first_hit(text: Column, families) -> Column:
+# words of which every text of a syntax family contains at least one
+SYNTAX_HINTS = {
+    "python": ["def", "import"],
+    "r": ["function"],
+    "java": ["public", "System.out"],
+    "typescript": ["function", "const", "let", "interface"],
+    "javascript": ["import", "function", "console.log", "const", "let"],
+    "cpp": ["#include", "std::"],
+    "go": ["func", "package"],
+    "rust": ["fn", "let"],
+}
+
+
+def _syntax(text: Column) -> Column:
     chain = F
-    for language, patterns in families:
+    for language, patterns in fixed.LANGUAGE_SYNTAX:
         hit = reduce(lambda a, b: a | b, [matches(text, regex, flags) for flags, regex in patterns])
-        chain = chain.when(hit, F.lit(language))
+        chain = chain.when(contains_any(text, SYNTAX_HINTS[language]) & hit, F.lit(language))
+    return chain.otherwise(F.lit(None).cast("string"))
+
+
+def _mention(text: Column) -> Column:
+    chain = F
+    for language, regex in fixed.LANGUAGE_MENTION:
+        chain = chain.when(matches(text, regex, "i"), F.lit(language))
     return chain.otherwise(F.lit(None).cast("string"))
 
 
 def primary_language(text: Column) -> Column:
     """Fence tag, else syntax family, else a mention by name, else ``unknown``."""
-    mentions = [(language, [("i", regex)]) for language, regex in fixed.LANGUAGE_MENTION]
     return F.coalesce(
         F.when(F.contains(text, F.lit("```")), _from_fence(text)),
-        _first_hit(text, fixed.LANGUAGE_SYNTAX),
-        _first_hit(text, mentions),
+        _syntax(text),
+        _mention(text),
         F.lit("unknown"),
     )
 

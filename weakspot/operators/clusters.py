@@ -27,8 +27,13 @@ class Partials(NamedTuple):
     samples: DataFrame
 
 
-def _set(name: str) -> Column:
-    return F.collect_set(F.nullif(F.try_element_at(F.col("enriched_labels"), F.lit(name)), F.lit("")))
+def keyed(diagnoses: DataFrame) -> DataFrame:
+    """The narrow columns clusters are made from."""
+    label = lambda name: F.nullif(F.try_element_at(F.col("enriched_labels"), F.lit(name)), F.lit(""))
+    return diagnoses.select(
+        "task_id", "fault_type", first(F.col("sub_tags")).alias("tag"),
+        label("verification_status").alias("status"), label("verification_level").alias("level"),
+    )
 
 
 def smallest_ids(rows: DataFrame, key: list[str], n: int = SAMPLES) -> DataFrame:
@@ -43,15 +48,15 @@ def smallest_ids(rows: DataFrame, key: list[str], n: int = SAMPLES) -> DataFrame
     )
 
 
-def partials(diagnoses: DataFrame) -> Partials:
-    keyed = diagnoses.select("task_id", "fault_type", first(F.col("sub_tags")).alias("tag"), "enriched_labels")
-    counts = keyed.groupBy(*KEY).agg(
+def partials(rows: DataFrame) -> Partials:
+    """Partials of keyed rows."""
+    counts = rows.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("frequency"),
         F.min("task_id").alias("min_task_id"),
-        _set("verification_status").alias("statuses"),
-        _set("verification_level").alias("levels"),
+        F.collect_set("status").alias("statuses"),
+        F.collect_set("level").alias("levels"),
     )
-    return Partials(counts, smallest_ids(keyed.select(*KEY, "task_id"), KEY))
+    return Partials(counts, smallest_ids(rows.select(*KEY, "task_id"), KEY))
 
 
 def regrouped(parts: Partials, tag: Column) -> Partials:

@@ -7,7 +7,7 @@ from weakspot import fixed_values as fixed
 from weakspot.functions import tags as tg
 from weakspot.functions.budget import staged_budget
 from weakspot.functions.text import first, has_outer_fence, let, lookup, pinned, requests_wrapper, strings
-from weakspot.operators.rules import Rule, first_hit
+from weakspot.operators.rules import Rule, with_first_hit
 from weakspot.schemas import DIAGNOSIS
 
 RULE_ONLY, CONFIRM, DEEP = "rule_only", "confirm", "deep"
@@ -30,7 +30,7 @@ def route(rule: Column) -> Column:
 def screened(tasks: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Tasks with their first rule hit and the branch it selects."""
     text = screening_text(F.col("content"), F.col("completion"), F.col("test_code"))
-    hit = pinned(tasks.withColumn("_text", text), "rule", first_hit(F.col("_text"), rules))
+    hit = with_first_hit(tasks.withColumn("_text", text), "_text", rules)
     return hit.drop("_text").withColumn("route", route(F.col("rule")))
 
 

@@ -11,22 +11,51 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
-from weakspot.functions.text import matches
+from weakspot.functions.text import contains_any, matches, pinned, quoted
 
 RULE_TYPE = "struct<rule_id:string,fault_type:string,sub_tag:string,severity:string,priority:int>"
 
 
 class Rule(NamedTuple):
+    """A screening rule.
+
+    ``hints`` are lower-case words of which every match contains at least one;
+    a text without any of them is not searched with the pattern.
+    """
+
     rule_id: str
     pattern: str
     fault_type: str
     sub_tag: str
     severity: str
     priority: int
+    hints: tuple = ()
+
+
+# every alternative of a built-in pattern contains one of its rule's words
+HINTS = {
+    "R007": ("timeout", "timed", "exceeded", "tle"),
+    "R006": ("recursion", "overflow"),
+    "R009": ("error:", "symbol", "expected", "undefined", "compil", "javac", "g++", "gcc", "go:"),
+    "R001": ("syntaxerror", "taberror", "indent", "invalid"),
+    "R002": ("nameerror", "defined", "cannot"),
+    "R003": ("importerror", "module", "package"),
+    "R004": ("typeerror:", "argument"),
+    "R008": ("output", "return", "nonetype"),
+    "R012": ("zero", "domain"),
+    "R005": ("index", "keyerror", "found", "nosuchelement"),
+    "R011": ("format", "presentation"),
+    "R010": ("assert",),
+}
+# letters outside ASCII that ignoring case makes equal to one inside it
+FOLDED = {"\u017f": "s", "\u212a": "k", "\u0131": "i", "\u0130": "i"}
 
 
 def default_rules() -> list[Rule]:
-    return [Rule(*row, priority) for priority, row in enumerate(fixed.RULES, start=1)]
+    return [
+        Rule(*row, priority, HINTS.get(row[0], ()))
+        for priority, row in enumerate(fixed.RULES, start=1)
+    ]
 
 
 def check_rules(custom: list[dict], order: list[str], known: set[str]) -> None:
@@ -77,7 +106,7 @@ def compose_rules(
 
 def rules_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     return spark.createDataFrame(
-        rules,
+        [r[:6] for r in rules],
         "rule_id string, pattern string, fault_type string, sub_tag string, severity string, priority int",
     )
 
@@ -86,40 +115,50 @@ def _in_order(rules: list[Rule]) -> list[Rule]:
     return sorted(rules, key=lambda r: (r.priority, r.rule_id))
 
 
-def _hit(text: Column, rule: Rule) -> Column:
-    return matches(text, rule.pattern, "im")
+def folded(text: Column) -> Column:
+    """Lower case in the sense of the patterns, which ignore case for all letters."""
+    special = contains_any(text, FOLDED)
+    plain = F.translate(text, "".join(FOLDED), "".join(FOLDED.values()))
+    return F.lower(F.when(special, plain).otherwise(text))
+
+
+def _hit(text: Column, words: Column, rule: Rule) -> Column:
+    """The pattern matches; texts without a hint are passed over by a plain search."""
+    found = matches(text, rule.pattern, "im")
+    return contains_any(words, rule.hints) & found if rule.hints else found
 
 
 def _literal(rule: Rule) -> Column:
-    return F.struct(
-        *[F.lit(getattr(rule, name)).alias(name)
-          for name in ["rule_id", "fault_type", "sub_tag", "severity", "priority"]]
+    return F.expr(
+        f"named_struct('rule_id', {quoted(rule.rule_id)}, 'fault_type', {quoted(rule.fault_type)}, "
+        f"'sub_tag', {quoted(rule.sub_tag)}, 'severity', {quoted(rule.severity)}, 'priority', {rule.priority})"
     )
 
 
-def first_hit(text: Column, rules: list[Rule] | None = None) -> Column:
-    """Struct of the first rule that matches, null when none does.
+def with_first_hit(texts: DataFrame, text: str, rules: list[Rule] | None = None) -> DataFrame:
+    """Add ``rule``: the struct of the first rule that matches, null when none does.
 
     The branches are lazy, so later patterns are not tried after a hit.
     """
     rules = _in_order(default_rules() if rules is None else rules)
+    if not rules:
+        return texts.withColumn("rule", F.lit(None).cast(RULE_TYPE))
     chain = F
     for rule in rules:
-        chain = chain.when(_hit(text, rule), _literal(rule))
-    return chain.otherwise(F.lit(None).cast(RULE_TYPE)) if rules else F.lit(None).cast(RULE_TYPE)
-
-
-def all_hits(text: Column, rules: list[Rule] | None = None) -> Column:
-    """Array of every rule that matches, in rule order."""
-    rules = _in_order(default_rules() if rules is None else rules)
-    return F.array_compact(F.array(*[F.when(_hit(text, r), _literal(r)) for r in rules]))
+        chain = chain.when(_hit(F.col(text), F.col("_words"), rule), _literal(rule))
+    hinted = texts.withColumn("_words", folded(F.col(text)))
+    return pinned(hinted, "rule", chain.otherwise(F.lit(None).cast(RULE_TYPE))).drop("_words")
 
 
 def hits(texts: DataFrame, text: str, rules: list[Rule] | None = None) -> DataFrame:
-    """One row per text and matching rule: the audit form of the screen.
+    """One row per text and matching rule, in rule order: the audit form of the screen.
 
     The rules ride along as literals, so this is a projection and an explode
     instead of a join of every text with every rule.
     """
-    exploded = texts.withColumn("rule", F.explode(all_hits(F.col(text), rules)))
-    return exploded.select(*texts.columns, "rule.*")
+    rules = _in_order(default_rules() if rules is None else rules)
+    matching = F.array_compact(
+        F.array(*[F.when(_hit(F.col(text), F.col("_words"), r), _literal(r)) for r in rules])
+    )
+    hinted = texts.withColumn("_words", folded(F.col(text)))
+    return hinted.select(*texts.columns, F.explode(matching).alias("rule")).select(*texts.columns, "rule.*")

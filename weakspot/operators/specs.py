@@ -178,8 +178,12 @@ def assembled(answered: DataFrame) -> DataFrame:
             "_strange": F.when(
                 mismatch, nm.ungrounded_names(F.concat_ws(" ", *own_words), F.concat_ws(" ", *evidence_words))
             ).otherwise(strings([])),
-            "_name": ct.entry_point(F.concat(named, F.array(cause, cliff))),
-            "_targets": nm.first_targets(F.col("evidence"), F.concat(named, F.array(cause, cliff))),
+            "_name": F.when(
+                ct.names_entry_point(tags), ct.entry_point(F.concat(named, F.array(cause, cliff)))
+            ),
+            "_targets": F.when(
+                mismatch, nm.first_targets(F.col("evidence"), F.concat(named, F.array(cause, cliff)))
+            ),
             "_unwanted": nm.wrong_target_phrase(F.col("evidence.wrong_line")),
             "_all_avoid": distinct_notes(F.concat("_avoid", "notes")),
         }

@@ -39,15 +39,17 @@ def aggregate(
 ) -> Report:
     """Weakness report of the failures among ``diagnoses``.
 
-    The diagnoses are reduced right away to partials per fault type and tag,
-    which are written, as is the weakness table made from them; everything else
-    works on those two small tables.
+    One pass over the diagnoses, with their long texts, leaves the narrow columns
+    of the failures.  Those are reduced to partials per fault type and tag, which
+    are written, as is the weakness table made from them; everything else works on
+    those small tables.
 
     ``collective`` and ``causal`` are analyzers (see ``operators.collective``);
     ``on_events`` receives the log of answers that had to be replaced.
     """
     rows = repaired(failures(diagnoses), level, reachable, verifiers, rediagnose)
-    parts = cl.Partials(*[written(part, "partials") for part in cl.partials(rows)])
+    narrow = written(cl.keyed(rows), "keyed")
+    parts = cl.Partials(*[written(part, "partials") for part in cl.partials(narrow)])
     groups = cl.named(parts)
     own_tags = groups.counts.select("tag").distinct()
 

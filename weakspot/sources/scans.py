@@ -1,0 +1,14 @@
+"""Layout of scanned inputs."""
+
+from pyspark.sql import DataFrame
+
+
+def spread(scanned: DataFrame) -> DataFrame:
+    """Deal the rows of a fact table out over the cores when the scan has too few parts.
+
+    A file is split by row groups only, so a table in one row group would be
+    worked off by one core however costly the texts are.  Inputs with at least
+    one part per core, as every large table has, are left alone.
+    """
+    cores = scanned.sparkSession.sparkContext.defaultParallelism
+    return scanned if scanned.rdd.getNumPartitions() >= cores else scanned.repartition(cores)
