@@ -52,9 +52,9 @@ def _answered(view: DataFrame, generate: Generator | None) -> DataFrame:
     return view.join(typed, "slot_key", "left")
 
 
-def _checked(specs: DataFrame, check: Checker | None) -> DataFrame:
-    """Local checks, then the external one for specs that pass them."""
-    local = sp.linted(specs)
+def _checked(specs: DataFrame, check: Checker | None, label: str) -> DataFrame:
+    """Outcome of the local checks, then of the external one for specs that pass them, written."""
+    local = written(sp.linted(specs), label)
     if check is None:
         return local
     spec = F.to_json(
@@ -71,13 +71,14 @@ def _checked(specs: DataFrame, check: Checker | None) -> DataFrame:
     )
     joined = local.join(verdicts, "slot_key", "left")
     given = F.col("_a").isNotNull()
-    return joined.withColumns(
+    judged = joined.withColumns(
         {
             "accepted": F.when(given, F.col("_a")).otherwise(F.col("accepted")),
             "reason": F.when(given, F.col("_r")).otherwise(F.col("reason")),
             "missing_contracts": F.when(given, F.col("_m")).otherwise(F.col("missing_contracts")),
         }
     ).drop("_a", "_r", "_m")
+    return written(judged, f"{label}-checked")
 
 
 def _events(rows: DataFrame, event: Column, error: Column, message: Column) -> DataFrame:
@@ -117,7 +118,7 @@ def generated(
     for round_number in range(attempts if hooked else 1):
         if round_number and pending.isEmpty():
             break
-        done = written(_checked(sp.assembled(_answered(pending, generate)), check), f"round-{round_number}")
+        done = _checked(sp.assembled(_answered(pending, generate)), check, f"round-{round_number}")
         fine = F.col("error").isNull() & F.col("accepted")
         accepted.append(done.filter(fine))
         dropped.append(done.filter("error IS NOT NULL").select(*columns, "error"))
@@ -150,7 +151,7 @@ def generated(
         view.select("slot_key", "notes"), "slot_key"
     ).withColumnRenamed("error", "_first_error")
     backed = sp.without_extra_syntax_notes(sp.assembled(sp.with_fallback_answer(lost)))
-    tried = written(_checked(backed, check), "fallback")
+    tried = _checked(backed, check, "fallback")
     saved = F.col("error").isNull() & F.col("accepted")
     nothing = F.lit(None)
     events = _events(
