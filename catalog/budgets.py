@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from catalog import sqltext as s
 from catalog.registry import query, table
+from catalog.views import TASKS_SQL, tasks
+from weakspot import fixed_values as fixed
 from weakspot.functions import budget as bg
 from weakspot.functions.text import token_count
 from weakspot.operators.diagnose import analyzer_payload
@@ -117,8 +119,20 @@ def proportional_budget(spark, sf):
     return bg.proportional_budget(pairs(spark, sf), _LIMIT)
 
 
-@query()
-def analyzer_payloads(spark, sf):
-    from catalog.views import tasks
+_TASK_WORDS = " + ".join(s.count_words(c) for c in ["content", "completion", "canonical_solution", "test_code"])
+
 
-    return analyzer_payload(tasks(spark, sf), 20)
+@query(f"""WITH {TASKS_SQL} SELECT task_id, CASE WHEN labels_text LIKE 'programming_language=%' THEN 'python' ELSE '' END AS language,
+  accepted, {_TASK_WORDS} > 20 AS solution_cut, CASE WHEN {_TASK_WORDS} > 20 THEN '' ELSE canonical_solution END AS solution,
+  contains(lower(content), 'markdown') AND (contains(content, '```') OR {s.hit('lower(content)', fixed.WRAPPER_REQUEST)}) AS asks
+FROM tasks""")
+def analyzer_payloads(spark, sf):
+    """Payload fields an analyzer receives under a budget of 20 tokens."""
+    payload = analyzer_payload(tasks(spark, sf), 20).withColumn("p", F.from_json(
+        "payload", "programming_language string, accepted boolean, canonical_solution string, "
+        "prompt_requests_markdown_wrapper boolean, truncation_info struct<canonical_solution_truncated: boolean>"))
+    return payload.select(
+        "task_id", F.col("p.programming_language").alias("language"), "p.accepted",
+        F.col("p.truncation_info.canonical_solution_truncated").alias("solution_cut"),
+        F.col("p.canonical_solution").alias("solution"), F.col("p.prompt_requests_markdown_wrapper").alias("asks"),
+    )
