@@ -76,50 +76,59 @@ def counted(rows: DataFrame, text: str, lang: str) -> DataFrame:
     )
 
 
+class Rows(dict):
+    """Word to row of the score matrix; rows of unseen words are added as they come."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.start(REMEMBERED)
+
+    def start(self, spare: int) -> None:
+        self.clear()
+        self.update(self.model.words)
+        self.used = len(self.model.values)
+        self.scores = np.vstack([self.model.values, np.zeros((spare, len(self.model.languages)))])
+
+    def make_room(self, n: int) -> None:
+        if self.used + n > len(self.scores):
+            self.start(max(REMEMBERED, n))
+
+    def __missing__(self, word: bytes) -> int:
+        self.scores[self.used] = self.model.backoff(word)
+        self[word] = self.used
+        self.used += 1
+        return self[word]
+
+
 class Model:
     """Log frequencies per language; rows of one matrix, found by word or n-gram."""
 
     def __init__(self, languages: list[str], words: dict[bytes, int], grams: dict[str, int], values: np.ndarray):
         self.languages, self.words, self.grams, self.values = languages, words, grams, values
-        self.unseen: dict[bytes, np.ndarray | None] = {}
 
-    def backoff(self, word: bytes) -> np.ndarray | None:
-        if word in self.unseen:
-            return self.unseen[word]
-        score = None
+    def backoff(self, word: bytes) -> np.ndarray:
         for order in ORDERS:
             known = [self.grams[g] for g in ngrams(word, order) if g in self.grams]
             if known:
-                score = self.values[known].mean(axis=0)
-                break
-        if len(self.unseen) >= REMEMBERED:
-            self.unseen.clear()
-        self.unseen[word] = score
-        return score
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not any(map(str.isalpha, text)):
-            return UNDECIDED, 0.0
-        rows, weights = [], []
-        total = np.zeros(len(self.languages))
-        for word, n in Counter(letter_words(text)).items():
-            row = self.words.get(word)
-            if row is not None:
-                rows.append(row)
-                weights.append(n)
-            else:
-                score = self.backoff(word)
-                if score is not None:
-                    total += n * score
-        if rows:
-            total += np.array(weights, dtype=float) @ self.values[rows]
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+                return sum(self.values[row] for row in known) / len(known)
+        return np.zeros(len(self.languages))
+
+    def predict(self, texts: Iterable[str | None], rows: Rows | None = None) -> Iterator[tuple[str, float]]:
+        rows = Rows(self) if rows is None else rows
+        for text in texts:
+            if not text or not self.languages or not any(map(str.isalpha, text)):
+                yield UNDECIDED, 0.0
+                continue
+            found = Counter(letter_words(text))
+            rows.make_room(len(found))
+            total = np.fromiter(found.values(), dtype=float, count=len(found)) @ rows.scores[[rows[w] for w in found]]
+            best = int(total.argmax())
+            yield self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
 def train(
     docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    sample: int = 1_000, entries: int = 200_000, max_languages: int = 200, alpha: float = 0.5,
+    sample: int = 500, entries: int = 200_000, max_languages: int = 200, alpha: float = 0.5,
 ) -> Model:
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id)))
     sizes = {
@@ -166,9 +175,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(values: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        ready = shared.value
+        rows = Rows(shared.value)
         for batch in values:
-            yield pd.DataFrame([ready.predict(v) for v in batch], columns=["lang_pred", "score"])
+            yield pd.DataFrame(shared.value.predict(batch, rows), columns=["lang_pred", "score"])
 
     names = with_names(docs, ["found"])
     found = docs.drop("lang_pred", "score").withColumn(names["found"], predict(F.col(text)))
