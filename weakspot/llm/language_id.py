@@ -148,7 +148,7 @@ def train(
     place = group.orderBy(F.desc("n"), "gram")
     frame = (
         counts.withColumns({"place": F.row_number().over(place), "total": F.sum("n").over(group), "kinds": F.count("*").over(group)})
-        .filter(F.col("place") <= share).select("lang", "order", "gram", "n", "total", "kinds").toPandas()
+        .filter(F.col("place") <= share).select("lang", "order", "gram", "n", "total", "kinds").toArrow().to_pandas()
     )
     languages = sorted(sizes)
     place_of = {name: i for i, name in enumerate(languages)}

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from weakspot.llm.decontamination import OP7_SQL, op7_decontamination
 from weakspot.llm.language_id import op9_language_id
 from weakspot.llm.license_scan import op8_license_scan
+from weakspot.llm.line_dedup import op3_line_dedup
 from weakspot.llm.secret_scan import op6_secret_scan
 from weakspot.llm.token_counts import op1_token_counts
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op6_secret_scan, op8_license_scan, op9_language_id)
+    for f in (op1_token_counts, op3_line_dedup, op6_secret_scan, op7_decontamination, op8_license_scan, op9_language_id)
 }
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op7_decontamination": OP7_SQL}
