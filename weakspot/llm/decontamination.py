@@ -133,20 +133,20 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = f"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id,
-    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD_BREAK}'), w -> w <> '') AS w
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD_BREAK}'), lambda w: w <> '') AS w
   FROM documents
 ), item AS (
   SELECT item_id,
-    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD_BREAK}'), w -> w <> '') AS w
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD_BREAK}'), lambda w: w <> '') AS w
   FROM benchmark
 ), win AS (
-  SELECT item_id, least(len(w), {LENGTH}) AS size, unnest(list_transform(range(1, greatest(len(w) - {LENGTH} + 1, 1) + 1), i -> array_to_string(w[i:i + least(len(w), {LENGTH}) - 1], ' '))) AS g
+  SELECT item_id, least(len(w), {LENGTH}) AS size, unnest(list_transform(range(1, greatest(len(w) - {LENGTH} + 1, 1) + 1), lambda i: array_to_string(w[i:i + least(len(w), {LENGTH}) - 1], ' '))) AS g
   FROM item WHERE len(w) > 0
 ), sizes AS (SELECT DISTINCT size FROM win), gram AS (
-  SELECT r, size, unnest(range(1, len(w) - size + 2)) AS at, unnest(list_transform(range(1, len(w) - size + 2), i -> array_to_string(w[i:i + size - 1], ' '))) AS g
+  SELECT r, size, unnest(range(1, len(w) - size + 2)) AS pos, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS g
   FROM doc, sizes WHERE len(w) >= size
-), hit AS (SELECT r, at, gram.size AS size, item_id FROM gram JOIN win ON gram.g = win.g AND gram.size = win.size
-), words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(at, at + size)) AS p FROM hit) GROUP BY r
+), hit AS (SELECT r, pos, gram.size AS size, item_id FROM gram JOIN win ON gram.g = win.g AND gram.size = win.size
+), words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(pos, pos + size)) AS p FROM hit) GROUP BY r
 ), items AS (SELECT r, list(i ORDER BY i) AS i FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(i), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(i, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated

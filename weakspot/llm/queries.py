@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from weakspot.llm.decontamination import OP7_SQL, op7_decontamination
+from weakspot.llm.embedding_near_dup import op4_embedding_near_dup
+from weakspot.llm.jaccard_join import op10_jaccard_join
 from weakspot.llm.language_id import op9_language_id
 from weakspot.llm.license_scan import op8_license_scan
 from weakspot.llm.line_dedup import op3_line_dedup
@@ -11,6 +13,7 @@ from weakspot.llm.token_counts import op1_token_counts
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op3_line_dedup, op6_secret_scan, op7_decontamination, op8_license_scan, op9_language_id)
+    for f in (op1_token_counts, op3_line_dedup, op4_embedding_near_dup, op6_secret_scan, op7_decontamination,
+              op8_license_scan, op9_language_id, op10_jaccard_join)
 }
 CHECKS: dict[str, str] = {"op7_decontamination": OP7_SQL}
