@@ -50,7 +50,16 @@ def with_names(df: DataFrame, taken: list[str]) -> dict[str, str]:
 
 def fraction_of(column: Column, share: float) -> Column:
     """Whether a row falls into a share of all rows, by a hash of a column."""
-    return F.pmod(F.xxhash64(column), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
+    return F.pmod(F.xxhash64(column), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+
+
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once, however often it is used.
+
+    The one-element explode keeps the optimizer from writing the expression into each
+    use, lambdas included.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def checkpoints(spark: SparkSession) -> None:

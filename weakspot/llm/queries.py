@@ -8,12 +8,14 @@ from weakspot.llm.jaccard_join import op10_jaccard_join
 from weakspot.llm.language_id import op9_language_id
 from weakspot.llm.license_scan import op8_license_scan
 from weakspot.llm.line_dedup import op3_line_dedup
+from weakspot.llm.mixing import op2_mixing
+from weakspot.llm.quality_classifier import op5_quality_classifier
 from weakspot.llm.secret_scan import op6_secret_scan
 from weakspot.llm.token_counts import op1_token_counts
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op3_line_dedup, op4_embedding_near_dup, op6_secret_scan, op7_decontamination,
-              op8_license_scan, op9_language_id, op10_jaccard_join)
+    for f in (op1_token_counts, op2_mixing, op3_line_dedup, op4_embedding_near_dup, op5_quality_classifier, op6_secret_scan,
+              op7_decontamination, op8_license_scan, op9_language_id, op10_jaccard_join)
 }
 CHECKS: dict[str, str] = {"op7_decontamination": OP7_SQL}
