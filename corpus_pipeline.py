@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weakspot.llm.common import read
+from weakspot.llm.common import read, removed, written
 from weakspot.llm.decontamination import decontaminated
 from weakspot.llm.jaccard_join import one_of_each
 from weakspot.llm.language_id import accepted, train
@@ -53,7 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents; each stage's table stands in the shared folder until the next is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs, path = written(stage(spark, docs, sf_dir))
+        if before:
+            removed(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)

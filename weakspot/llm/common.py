@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -62,20 +63,36 @@ def held(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def checkpoints(spark: SparkSession) -> None:
-    """See that checkpoints go to the shared folder which the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names for checkpoints.
 
     Only a session on one machine that names none gets one beside its warehouse.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.match(r"local($|\[)", context.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-    context.setCheckpointDir(folder)
+    if folder:
+        return folder.rstrip("/")
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
+def checkpoints(spark: SparkSession) -> None:
+    """See that checkpoints go to the shared folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write a table to the shared folder and read it back."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Take a table out of the shared folder again."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def pinned(df: DataFrame) -> DataFrame:

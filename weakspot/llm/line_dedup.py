@@ -46,7 +46,7 @@ def distinct_lines(text: Column) -> Column:
 
     Explode them with explode_outer: the filter put before a plain explode would work them out twice.
     """
-    return F.array_remove(F.array_distinct(F.transform(F.split(text, "\n"), F.trim)), "")
+    return F.array_remove(F.array_distinct(F.transform(F.split(text, "\n"), lambda line: F.trim(line))), "")
 
 
 def recurring_leaves(docs: DataFrame, text: str, depth: int, min_docs: int) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from weakspot.llm.common import UPPER, fraction_of, held, pinned, read, with_names, words
 
 BUCKETS = 1 << 14
-TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
+TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
 
 
 def domains_of_labels(labels: DataFrame) -> DataFrame:
