@@ -67,7 +67,8 @@ def counted(rows: DataFrame, text: str, lang: str) -> DataFrame:
                         for gram in ngrams(word, order):
                             grams[order, gram] += n
                 out += [(label, order, gram, n) for (order, gram), n in grams.items()]
-            yield pd.DataFrame(out, columns=["lang", "order", "gram", "n"])
+            if out:  # an empty frame has no types
+                yield pd.DataFrame(out, columns=["lang", "order", "gram", "n"])
 
     picked = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     return (

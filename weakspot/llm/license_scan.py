@@ -60,7 +60,8 @@ def document_frequencies(docs: DataFrame, vocabulary: set[bytes], text: str = "t
             counts = Counter()
             for value in batch.iloc[:, 0]:
                 counts.update(vocabulary.intersection(word_list(value)))
-            yield pd.DataFrame({"word": [w.decode() for w in counts], "n": list(counts.values())})
+            if counts:  # an empty frame has no types
+                yield pd.DataFrame({"word": [w.decode() for w in counts], "n": list(counts.values())})
 
     rows = docs.select(F.col(text)).mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {row.word.encode(): row.n for row in rows.collect()}  # at most the words of the templates
@@ -141,9 +142,8 @@ def scan_licenses(
     @F.pandas_udf(RESULT)
     def scan(values: pd.Series) -> pd.DataFrame:
         rows = [scanned(v, ready, wanted) for v in values]
-        frame = pd.DataFrame(rows, columns=[part.split()[0] for part in RESULT.split(", ")[:7]] + ["blocks"])
-        for name in ("first_word", "last_word"):
-            frame[name] = frame[name].astype("Int64")
+        # plain objects: columns of numbers with gaps keep their type
+        frame = pd.DataFrame(rows, columns=[part.split()[0] for part in RESULT.split(", ")[:7]] + ["blocks"], dtype=object)
         frame["blocks"] = [[dict(zip(("label", "template", "block", "containment"), b)) for b in row] for row in frame["blocks"]]
         return frame
 

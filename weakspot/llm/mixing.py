@@ -142,27 +142,43 @@ def rate_of(posterior: list[Column], history: list[list[float]]) -> Column:
 
 
 def fitted(table: DataFrame, n: str, posterior: list[str], targets: list[float], iterations: int = 40, tolerance: float = 1e-6) -> list[list[float]]:
-    """History of gradients until the expected totals meet the targets, or no step brings them nearer."""
-    weights = [F.col(n) * F.col(p) for p in posterior]
+    """History of gradients until the expected totals meet the targets, or no step brings them nearer.
+
+    A step is first taken in the metric of the documents that still have a rate, which
+    is exact if no more of them reach 0.  If it brings the totals no nearer, it is taken
+    back for one in the metric of all documents, which always does.
+    """
     size = len(posterior)
-    products = table.agg(F.sum(F.col(n)), *[F.sum(weights[i] * F.col(posterior[j])) for i in range(size) for j in range(size)]).first()
-    total = float(products[0] or 0)
-    if total == 0:
-        return []
-    gram = np.array([float(v or 0) for v in products[1:]]).reshape(size, size)
-    metric = np.linalg.pinv(gram)
-    goal = np.array(targets) / sum(targets) * total
+    columns = [F.col(p) for p in posterior]
+
+    def sums(rate: Column) -> tuple[float, np.ndarray, np.ndarray]:
+        live = F.when(rate > 0, F.col(n)).otherwise(F.lit(0))
+        row = table.agg(
+            F.sum(n), *[F.sum(rate * F.col(n) * p) for p in columns], *[F.sum(live * a * b) for a in columns for b in columns],
+        ).first()
+        values = np.array([float(v or 0) for v in row])
+        return values[0], values[1: 1 + size], values[1 + size:].reshape(size, size)
+
     history: list[list[float]] = []
-    before = math.inf  # each step brings the squared distance down
+    metric = goal = gap = None
+    nearest, bold = math.inf, False
     for _ in range(iterations):
-        rate = rate_of([F.col(p) for p in posterior], history)
-        sums = np.array([float(v or 0) for v in table.agg(*[F.sum(rate * w) for w in weights]).first()])
-        gap = sums - goal
-        distance = float(gap @ metric @ gap)
-        if np.abs(gap).sum() < tolerance * total or distance > before * (1 - 1e-3):
+        total, now, gram = sums(rate_of(columns, history))
+        if total == 0:
+            return []
+        if metric is None:
+            metric, goal = np.linalg.pinv(gram), np.array(targets) / sum(targets) * total
+        distance = float((now - goal) @ metric @ (now - goal))
+        if distance >= nearest * (1 - 1e-4):
+            if not bold:
+                break
+            history[-1], bold = (metric @ gap).tolist(), False
+            continue
+        nearest, gap = distance, now - goal
+        if np.abs(gap).sum() < tolerance * total:
             break
-        before = distance
-        history.append((metric @ gap).tolist())
+        history.append((np.linalg.pinv(gram) @ gap).tolist())
+        bold = True
     return history
 
 

@@ -92,7 +92,8 @@ def pattern_counts(docs: DataFrame, text: str = "text") -> dict[int, int]:
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             counts = Counter(pattern(Text(v)) for v in batch.iloc[:, 0])
-            yield pd.DataFrame({"pattern": list(counts), "n": list(counts.values())})
+            if counts:  # an empty frame has no types
+                yield pd.DataFrame({"pattern": list(counts), "n": list(counts.values())})
 
     rows = docs.select(F.col(text)).mapInPandas(counted, "pattern int, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     return {row["pattern"]: row["n"] for row in rows.collect()}

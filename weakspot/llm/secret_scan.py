@@ -143,7 +143,8 @@ def histogram(docs: DataFrame, text: str = "text") -> dict[tuple[int, int], tupl
                         counts[length_class(len(found)), cell_of(randomness(found)), 0] += 1
                     for stretch in ordinary(value):
                         counts[length_class(len(stretch)), cell_of(randomness(stretch)), 1] += 1
-            yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["class", "cell", "plain", "n"])
+            if counts:  # an empty frame has no types
+                yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["class", "cell", "plain", "n"])
 
     rows = (
         docs.select(F.col(text)).mapInPandas(counted, "class int, cell int, plain int, n long")
