@@ -105,20 +105,20 @@ def cluster_order(spark, sf):
     return cl.clusters(cl.named(partials(spark, sf))).select("fault_type", "tag", order.cast("bigint").alias("place"))
 
 
-# tag map over user tags: every user points at the user their events name most recently
+# tag map over user tags: every user points at another by the sum of their events, some at tags of no user
 _EDGES = """edges AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS source,
-  'u' || CAST(sum(event_id) % 97 AS VARCHAR) AS target FROM events GROUP BY user_id)"""
+  CASE WHEN sum(event_id) % 5 = 0 THEN 'new' ELSE 'u' END || CAST(sum(event_id) % 97 AS VARCHAR) AS target FROM events GROUP BY user_id)"""
 
 
 def user_edges(spark, sf):
     return table(spark, sf, "events").groupBy("user_id").agg(F.sum("event_id").alias("n")).select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source"),
-        F.concat(F.lit("u"), (F.col("n") % 97).cast("string")).alias("target"),
+        F.concat(F.when(F.col("n") % 5 == 0, "new").otherwise("u"), (F.col("n") % 97).cast("string")).alias("target"),
     )
 
 
 @query(f"""WITH RECURSIVE {_EDGES},
-tags AS (SELECT source AS tag FROM edges UNION SELECT target FROM edges),
+tags AS (SELECT source AS tag FROM edges),
 walk AS (
   SELECT tag AS source, tag AS cur, coalesce((SELECT target FROM edges WHERE edges.source = tags.tag), tag) AS nxt, CAST([] AS VARCHAR[]) AS seen FROM tags
   UNION ALL

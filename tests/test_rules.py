@@ -39,7 +39,7 @@ def test_every_pattern_is_covered_by_a_text():
     assert {rule for t in TEXTS for rule in python_hits(t)} == {r[0] for r in fixed.RULES}
 
 
-def test_composition():
+def test_composition(spark):
     custom = [{"name": " X1 ", "pattern": "x", "fault_type": "surface", "sub_tag": "xx", "severity": "low"}]
     rules = ru.compose_rules(custom, disabled=["R001"], severities={"xx": "high", "X1": "medium"}, order=["X1", "R010"])
     assert [r.rule_id for r in rules[:3]] == ["X1", "R010", "R007"] and rules[0].severity == "medium"
@@ -53,7 +53,7 @@ def test_composition():
     ({"order": ["R001", "R001"]}, "duplicate rule_priority ID: R001"),
     ({"order": ["R001"], "disabled": ["R001"]}, "unknown rule_priority ID: R001"),
 ])
-def test_bad_rule_settings(settings, message):
+def test_bad_rule_settings(spark, settings, message):
     base = {"pattern": "p", "fault_type": "surface", "sub_tag": "s", "severity": "low"}
     settings["custom"] = [{**base, **c} for c in settings.get("custom", [])]
     with pytest.raises(ValueError, match=message):

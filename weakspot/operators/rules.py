@@ -5,9 +5,10 @@ plan, so Spark compiles each pattern once per task and screens texts without a
 join or a shuffle.
 """
 
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
@@ -58,23 +59,37 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def check_rules(custom: list[dict], order: list[str], known: set[str]) -> None:
-    """Names and the explicit order must be unique and refer to rules that exist."""
-    built_in = {row[0] for row in fixed.RULES}
-    names = [c["name"].strip() for c in custom]
-    for at, name in enumerate(names):
-        if not name:
-            raise ValueError("custom rule name must not be empty")
-        if name in names[:at]:
-            raise ValueError(f"duplicate custom rule name: {name}")
-        if name in built_in:
-            raise ValueError(f"custom rule name collides with built-in rule ID: {name}")
-    for at, rule_id in enumerate(order):
-        if rule_id in order[:at]:
-            raise ValueError(f"duplicate rule_priority ID: {rule_id}")
-    for rule_id in order:
-        if rule_id not in known:
-            raise ValueError(f"unknown rule_priority ID: {rule_id}")
+RULE_COLUMNS = "rule_id string, pattern string, fault_type string, sub_tag string, severity string, priority int"
+
+
+def rules_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    return spark.createDataFrame([r[:6] for r in rules], RULE_COLUMNS)
+
+
+def _twice(named: DataFrame) -> DataFrame:
+    """Names that stand more than once, at their second place."""
+    places = named.groupBy("name").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    return places.filter(F.size("places") > 1).select("name", F.col("places")[1].alias("at"))
+
+
+def problems(custom: DataFrame, order: DataFrame, known: DataFrame) -> DataFrame:
+    """(step, at, message) of everything wrong with custom names and the explicit order.
+
+    ``custom`` and ``order`` are (name, at), ``known`` holds the ids in force.
+    """
+    built_in = F.broadcast(rules_table(custom.sparkSession, default_rules()).select(F.col("rule_id").alias("name")))
+    found = [
+        (0, 0, "custom rule name must not be empty", custom.filter("name = ''")),
+        (0, 1, "duplicate custom rule name: %s", _twice(custom.filter("name <> ''"))),
+        (0, 2, "custom rule name collides with built-in rule ID: %s", custom.join(built_in, "name", "left_semi")),
+        (1, 0, "duplicate rule_priority ID: %s", _twice(order)),
+        (2, 0, "unknown rule_priority ID: %s", order.join(known.select(F.col("rule_id").alias("name")), "name", "left_anti")),
+    ]
+    tables = [
+        rows.select(F.lit(step).alias("step"), "at", F.lit(turn).alias("turn"), F.format_string(text, *(["name"] if "%s" in text else [])).alias("message"))
+        for step, turn, text, rows in found
+    ]
+    return reduce(DataFrame.unionByName, tables)
 
 
 def compose_rules(
@@ -84,31 +99,33 @@ def compose_rules(
     """Defaults minus the disabled ones plus custom ones, re-ordered and renumbered.
 
     ``severities`` overrides by tag and by rule id, the id winning; ``order``
-    lists rule ids that come first.
+    lists rule ids that come first.  Rules are configuration, so their table is small.
     """
-    severities, off, order = severities or {}, set(disabled), list(order)
+    spark = SparkSession.active()
+    first_free = fixed.CUSTOM_RULE_BASE_PRIORITY + 1
+    names = spark.createDataFrame(list(enumerate((c["name"].strip() for c in custom))), "at int, name string").select("name", "at")
+    wanted = spark.createDataFrame(list(enumerate(order)), "at int, name string").select("name", "at")
     extra = [
-        Rule(c["name"].strip(), c["pattern"], c["fault_type"], c["sub_tag"], c["severity"],
-             fixed.CUSTOM_RULE_BASE_PRIORITY + n)
-        for n, c in enumerate(custom, start=1)
-    ]
-    active = [r for r in [*default_rules(), *extra] if r.rule_id not in off]
-    check_rules(list(custom), order, {r.rule_id for r in active})
-    place = {rule_id: n for n, rule_id in enumerate(order)}
-    active.sort(key=lambda r: (place.get(r.rule_id, len(place)), r.priority, r.rule_id))
-    return [
-        r._replace(
-            severity=severities.get(r.rule_id, severities.get(r.sub_tag, r.severity)), priority=n
-        )
-        for n, r in enumerate(active, start=1)
+        Rule(c["name"].strip(), c["pattern"], c["fault_type"], c["sub_tag"], c["severity"], first_free + at)
+        for at, c in enumerate(custom)
     ]
-
-
-def rules_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    return spark.createDataFrame(
-        [r[:6] for r in rules],
-        "rule_id string, pattern string, fault_type string, sub_tag string, severity string, priority int",
+    built_in = default_rules()
+    table = rules_table(spark, built_in).unionByName(rules_table(spark, extra))
+    active = table.filter(~F.col("rule_id").isin(list(disabled))) if disabled else table
+    worst = problems(names, wanted, active).orderBy("step", "at", "turn").first()
+    if worst:
+        raise ValueError(worst.message)
+    overrides = F.create_map(*[F.lit(x) for pair in (severities or {}).items() for x in pair]) if severities else F.lit(None).cast("map<string,string>")
+    placed = active.join(wanted.select(F.col("name").alias("rule_id"), F.col("at").alias("place")), "rule_id", "left")
+    turn = Window.orderBy(F.col("place").asc_nulls_last(), "priority", "rule_id")
+    composed = placed.select(
+        "rule_id", "pattern", "fault_type", "sub_tag",
+        F.coalesce(F.try_element_at(overrides, "rule_id"), F.try_element_at(overrides, "sub_tag"), "severity").alias("severity"),
+        F.row_number().over(turn).alias("number"),
     )
+    hints = {r.rule_id: r.hints for r in built_in}
+    rows = composed.orderBy("number").collect()
+    return [Rule(*row, hints.get(row.rule_id, ())) for row in rows]
 
 
 def _in_order(rules: list[Rule]) -> list[Rule]:

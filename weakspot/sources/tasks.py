@@ -1,6 +1,7 @@
 """Task tables from merged, real-log and split inputs."""
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +23,48 @@ def first_keys(spark: SparkSession, path: str) -> set[str]:
     return set(rows[0][0])
 
 
-def kind_of_keys(keys: list[set[str]]) -> str:
-    """Input kind from the key sets of the first rows."""
-    task, inference = set(fixed.TASK_KEYS), set(fixed.INFERENCE_KEYS)
-    results, real_log = set(fixed.RESULT_KEYS), set(fixed.REAL_LOG_KEYS)
-    if len(keys) == 1 and task <= keys[0]:
-        return MERGED
-    if len(keys) == 1 and real_log <= keys[0]:
-        return REAL_LOG
-    if len(keys) == 2:
-        as_inference = [inference <= k and not task <= k for k in keys]
-        as_results = [results <= k and not inference <= k for k in keys]
-        if sum(as_inference) == 1 and sum(as_results) == 1:
-            return SPLIT
-    raise ValueError("Could not detect the input kind of the given paths")
+class Role(NamedTuple):
+    """A part of an input, told by keys its first row has and has not all of."""
+
+    name: str
+    has: frozenset
+    lacks: frozenset = frozenset()
+
+    def fits(self, keys: set[str]) -> bool:
+        return self.has <= keys and not (self.lacks and self.lacks <= keys)
+
+
+_TASK, _INFERENCE = frozenset(fixed.TASK_KEYS), frozenset(fixed.INFERENCE_KEYS)
+#: input kinds with the roles their files play; the first that all files fit counts
+LAYOUTS = {
+    MERGED: [Role("tasks", _TASK)],
+    REAL_LOG: [Role("log", frozenset(fixed.REAL_LOG_KEYS))],
+    SPLIT: [Role("inference", _INFERENCE, _TASK), Role("results", frozenset(fixed.RESULT_KEYS), _INFERENCE)],
+}
+
+
+def cast(roles: list[Role], keys: dict[str, set[str]]) -> dict[str, str] | None:
+    """Role to path, if each role is played by one path and none is left over."""
+    players = {role.name: [path for path, found in keys.items() if role.fits(found)] for role in roles}
+    if len(keys) != len(roles) or any(len(paths) != 1 for paths in players.values()):
+        return None
+    return {name: paths[0] for name, paths in players.items()}
+
+
+def layout_of(keys: dict[str, set[str]]) -> tuple[str, dict[str, str]]:
+    """Input kind and who plays which role, from the keys of the first rows."""
+    for kind_name, roles in LAYOUTS.items():
+        if found := cast(roles, keys):
+            return kind_name, found
+    wanting = "; ".join(
+        f"{path} lacks for {role.name}: {', '.join(sorted(role.has - found)) or 'nothing, but holds more'}"
+        for path, found in keys.items() for roles in LAYOUTS.values() for role in roles if not role.fits(found)
+    )
+    raise ValueError(f"Could not detect the input kind of the given paths ({wanting})")
 
 
 def detect(spark: SparkSession, paths: list[str]) -> str:
-    return kind_of_keys([first_keys(spark, path) for path in paths])
+    return layout_of({path: first_keys(spark, path) for path in paths})[0]
 
 
 def load(spark: SparkSession, paths: list[str]) -> DataFrame:
