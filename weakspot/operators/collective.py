@@ -2,7 +2,8 @@
 
 An analyzer maps pandas batches with the columns ``cluster_key`` and ``payload``
 to batches with ``cluster_key`` and ``answer``, both JSON text.  It sees a
-cluster through its counts, labels, siblings and a bounded set of sample rows.
+cluster through its counts, labels, siblings and all of its diagnoses, which large
+clusters deal out over several payloads.
 """
 
 from collections.abc import Callable
@@ -13,28 +14,32 @@ from pyspark.sql import functions as F
 from weakspot import fixed_values as fixed
 from weakspot.functions.responses import clean_collective, collective_gap, parsed
 from weakspot.functions.text import first
-from weakspot.operators.clusters import KEY, mapped_tag, narrative, smallest_ids, with_siblings
+from weakspot.operators.clusters import KEY, mapped_tag, narrative, with_siblings
 from weakspot.schemas import EVIDENCE
 from weakspot.sources.artifacts import written
 
-PAYLOAD_ROWS = 15
+CHUNK_ROWS = 200
 
 
-def sample_rows(rows: DataFrame, tag_map: DataFrame | None) -> DataFrame:
-    """Up to fifteen diagnoses per cluster, smallest ids first, as one array."""
+def chunks(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None) -> DataFrame:
+    """Every diagnosis of every cluster, dealt out in arrays of about `CHUNK_ROWS` by a hash of its task."""
     keyed = rows.select(
         "task_id", "fault_type", F.coalesce(first(F.col("sub_tags")), F.lit("unknown")).alias("tag"),
         "severity", "description", "evidence", "enriched_labels", "confidence",
     )
     joined, tag = mapped_tag(tag_map, keyed)
-    picked = smallest_ids(joined.withColumn("tag", tag).drop("target"), KEY, PAYLOAD_ROWS)
     fields = [c for c in keyed.columns if c not in KEY]
     entry = F.struct("task_id", F.to_json(F.struct(*fields)).alias("json"))
-    return picked.groupBy(*KEY).agg(F.array_sort(F.collect_list(entry)).alias("diagnoses"))
+    sizes = clusters.select(*KEY, F.ceil(F.col("frequency") / CHUNK_ROWS).cast("int").alias("chunks"))
+    dealt = joined.withColumn("tag", tag).drop("target").join(sizes, KEY)
+    return (
+        dealt.withColumn("chunk", F.pmod(F.xxhash64("task_id"), F.col("chunks")).cast("int"))
+        .groupBy(*KEY, "chunk").agg(F.array_sort(F.collect_list(entry)).alias("diagnoses"), F.count(F.lit(1)).alias("rows_seen"))
+    )
 
 
 def payloads(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None) -> DataFrame:
-    """Clusters with the JSON payload their analyzer receives."""
+    """(cluster key, chunk, rows_seen, payload): the JSON an analyzer receives for each chunk of a cluster."""
     fields = F.from_json(
         F.concat(F.lit("["), F.array_join(F.transform("diagnoses", lambda d: d["json"]), ","), F.lit("]")),
         "array<struct<task_id: bigint, severity: string, description: string, "
@@ -47,25 +52,65 @@ def payloads(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None) ->
         )
     )
     return (
-        with_siblings(clusters).join(sample_rows(rows, tag_map), KEY)
-        .withColumn("payload", payload).drop("diagnoses", "siblings")
+        with_siblings(clusters).join(chunks(clusters, rows, tag_map), KEY)
+        .select(*KEY, "chunk", "rows_seen", payload.alias("payload"))
     )
 
 
 def _ask(questions: DataFrame, analyze: Callable) -> DataFrame:
-    """Answers to distinct payloads, cleaned, with what is wrong with them."""
+    """One row per question: its cleaned answer, and what is wrong with it if anything is."""
     answers = questions.mapInPandas(analyze, "cluster_key string, answer string")
-    cleaned = answers.withColumn("clean", clean_collective(parsed(F.col("answer"))))
+    single = answers.groupBy("cluster_key").agg(F.min("answer").alias("answer"), (F.min("answer") != F.max("answer")).alias("several"))
+    met = questions.select("cluster_key").join(single, "cluster_key", "left")
+    cleaned = met.withColumn("clean", clean_collective(parsed(F.col("answer"))))
+    wrong = F.when(F.col("answer").isNull(), F.lit("not answered")).when(F.col("several"), F.lit("answered in several ways"))
     return written(
-        cleaned.withColumn("problem", collective_gap(F.col("answer"), F.col("clean"))), "answers"
+        cleaned.withColumn("problem", F.coalesce(wrong, collective_gap(F.col("answer"), F.col("clean")))), "answers"
+    )
+
+
+def joined_answers(answered: DataFrame) -> DataFrame:
+    """One answer per cluster from those to its chunks.
+
+    Texts are those of the first chunk with a usable answer, coherence is the mean by
+    rows, ids are united, corrections of earlier chunks win, merges keep their order
+    without repeats.  ``problem`` is that of the first chunk that has one.
+    """
+    usable = F.col("problem").isNull()
+    chunk = F.when(usable, F.struct("chunk", "rows_seen", "clean"))
+    gathered = answered.groupBy(*KEY).agg(
+        F.array_sort(F.collect_list(F.struct("chunk", "problem"))).alias("problems"),
+        F.collect_list(chunk).alias("told"), F.sum("rows_seen").alias("rows_seen"),
+    )
+    told = F.array_sort("told", lambda a, b: a["chunk"] - b["chunk"])
+    parts = gathered.withColumn("told", told)
+    rows = F.aggregate("told", F.lit(0).cast("bigint"), lambda n, c: n + c["rows_seen"])
+    weighed = F.aggregate("told", F.lit(0.0), lambda n, c: n + c["rows_seen"] * c["clean"]["cluster_coherence"])
+    corrections = F.aggregate(
+        F.flatten(F.transform("told", lambda c: F.map_entries(c["clean"]["misdiagnosis_corrections"]))),
+        F.create_map().cast("map<string,string>"),
+        lambda m, e: F.when(F.map_contains_key(m, e["key"]), m).otherwise(F.map_concat(m, F.map_from_entries(F.array(e)))),
     )
+    head = F.col("told")[0]["clean"]
+    narrative_of = F.struct(
+        head["refined_root_cause"].alias("refined_root_cause"), head["capability_cliff"].alias("capability_cliff"),
+        F.array_distinct(F.flatten(F.transform("told", lambda c: c["clean"]["misdiagnosed_ids"]))).alias("misdiagnosed_ids"),
+        corrections.alias("misdiagnosis_corrections"), (weighed / rows).alias("cluster_coherence"),
+    )
+    merges = F.array_distinct(F.flatten(F.transform("told", lambda c: c["clean"]["semantic_merges"])))
+    some = F.size("told") > 0
+    return parts.select(
+        *KEY, F.when(some, narrative_of).alias("answer"), F.when(some, merges).alias("merges"), "rows_seen",
+        F.array_compact(F.transform("problems", lambda p: p["problem"])).alias("problems"),
+    ).withColumn("problem", first(F.col("problems"))).drop("problems")
 
 
 def analyzed(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None, analyze: Callable) -> DataFrame:
     """Clusters with the narrative and merges of their analysis.
 
-    Equal payloads are asked once.  A bad answer is asked for once more; a
-    second bad one gives way to the default narrative and is kept in ``problem``.
+    An analyzer is asked once per chunk, and once for equal payloads.  A missing,
+    ambiguous or bad answer is asked for once more; a second such one is kept in
+    ``problem``, and a cluster without any usable answer gets the default narrative.
     """
     asked = written(
         payloads(clusters, rows, tag_map).withColumn("cluster_key", F.sha2("payload", 256)), "payloads"
@@ -75,17 +120,11 @@ def analyzed(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None, an
     bad = once.filter("problem IS NOT NULL").select("cluster_key")
     twice = _ask(questions.join(bad, "cluster_key", "left_semi"), analyze)
     answers = once.filter("problem IS NULL").unionByName(twice).select("cluster_key", "clean", "problem")
-    usable = F.col("problem").isNull()
-    told = F.struct(
-        *[F.col(f"clean.{name}").alias(name)
-          for name in ["refined_root_cause", "capability_cliff", "misdiagnosed_ids",
-                       "misdiagnosis_corrections", "cluster_coherence"]]
-    )
+    found = joined_answers(asked.drop("payload").join(answers, "cluster_key", "left"))
     return (
-        asked.join(answers, "cluster_key")
-        .withColumn("narrative", F.when(usable, told).otherwise(narrative(fixed.MERGED_CLIFF_FORMAT)))
-        .withColumn("merges", F.when(usable, F.col("clean.semantic_merges")))
-        .drop("clean", "payload", "cluster_key")
+        clusters.join(found, KEY, "left")
+        .withColumn("narrative", F.coalesce("answer", narrative(fixed.MERGED_CLIFF_FORMAT)))
+        .drop("answer")
     )
 
 

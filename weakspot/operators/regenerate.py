@@ -64,26 +64,26 @@ def _checked(specs: DataFrame, check: Checker | None, label: str) -> DataFrame:
     asked = local.filter("accepted AND error IS NULL").select("slot_key", spec.alias("spec"))
     verdicts = asked.mapInPandas(
         check, "slot_key string, accepted boolean, reason string, missing_contracts array<string>"
-    ).select(
-        "slot_key", F.col("accepted").alias("_a"),
-        F.coalesce("reason", F.lit(fixed.EXTERNAL_CHECK_REASON)).alias("_r"),
-        F.coalesce("missing_contracts", F.array().cast("array<string>")).alias("_m"),
     )
-    joined = local.join(verdicts, "slot_key", "left")
-    given = F.col("_a").isNotNull()
-    judged = joined.withColumns(
-        {
-            "accepted": F.when(given, F.col("_a")).otherwise(F.col("accepted")),
-            "reason": F.when(given, F.col("_r")).otherwise(F.col("reason")),
-            "missing_contracts": F.when(given, F.col("_m")).otherwise(F.col("missing_contracts")),
-        }
-    ).drop("_a", "_r", "_m")
+    # one verdict per spec: accepted only if every answer says so, a spec without one is rejected
+    single = verdicts.groupBy("slot_key").agg(
+        F.min(F.coalesce("accepted", F.lit(False))).alias("_a"), F.min("reason").alias("_r"),
+        F.array_distinct(F.flatten(F.collect_list("missing_contracts"))).alias("_m"),
+    )
+    joined = local.join(single, "slot_key", "left")
+    given = F.col("accepted") & F.col("error").isNull()
+    judged = joined.select(
+        *[F.col(c) for c in local.columns if c not in ("accepted", "reason", "missing_contracts")],
+        F.when(given, F.coalesce("_a", F.lit(False))).otherwise(F.col("accepted")).alias("accepted"),
+        F.when(given, F.coalesce("_r", F.lit(fixed.EXTERNAL_CHECK_REASON))).otherwise(F.col("reason")).alias("reason"),
+        F.when(given, F.coalesce("_m", F.array().cast("array<string>"))).otherwise(F.col("missing_contracts")).alias("missing_contracts"),
+    )
     return written(judged, f"{label}-checked")
 
 
 def _events(rows: DataFrame, event: Column, error: Column, message: Column) -> DataFrame:
     return rows.select(
-        (F.col("rank").cast("bigint") * 1000 + F.col("slot")).alias("seq"),
+        (F.col("rank").cast("bigint") * 2**32 + F.col("slot")).cast("bigint").alias("seq"),
         F.lit("synthesize").alias("stage"), F.col("key").alias("weakness"),
         error.cast("string").alias("error_type"), event.cast("string").alias("event_type"),
         message.alias("message"),

@@ -285,13 +285,18 @@ def without_extra_syntax_notes(fallbacks: DataFrame) -> DataFrame:
     )
 
 
-def numbered(accepted: DataFrame) -> DataFrame:
+def numbered(accepted: DataFrame, span: int = 4096) -> DataFrame:
     """Number the accepted slots densely in slot order.
 
-    A run has at most (weaknesses x slots) rows, so one ordered window is enough.
+    Rows are numbered within spans of ranks; only one count per span is put in order
+    as a whole.
     """
-    place = F.row_number().over(Window.orderBy("rank", "slot"))
-    return accepted.withColumn("spec_id", F.format_string("spec-%04d", place))
+    parts = accepted.withColumn("_span", F.floor(F.col("rank") / span))
+    sizes = parts.groupBy("_span").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_span", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_span").orderBy("rank", "slot")) + F.col("_before")
+    return parts.join(offsets, "_span").withColumn("spec_id", F.format_string("spec-%04d", place)).drop("_span", "_before")
 
 
 def spec_rows(df: DataFrame) -> DataFrame:

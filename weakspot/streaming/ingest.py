@@ -6,48 +6,76 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from weakspot import fixed_values as fixed
 from weakspot.operators.diagnose import unprocessed
 from weakspot.plans.diagnose import new_diagnoses
 from weakspot.schemas import DIAGNOSIS, TASK
+from weakspot.sources import jsonl
 from weakspot.sources.artifacts import RunStore
+from weakspot.sources.gate import key_violations
+
+QUARANTINE = "quarantine"
 
 
 def task_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Stream of task rows from JSON files appearing under a folder."""
-    return spark.readStream.schema(TASK).option("maxFilesPerTrigger", files_per_batch).json(path)
+    """Stream of (file, raw) lines of the JSON files appearing under a folder."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw"))
+
+
+def judged(lines: DataFrame) -> DataFrame:
+    """Lines with their task ``r`` and ``problem``, null where the line is a whole task."""
+    parsed = jsonl.with_problems(lines)
+    keys = key_violations(F.col("raw"), fixed.TASK_KEYS)
+    typed = parsed.withColumn("r", F.from_json("raw", TASK))
+    problem = F.coalesce("problem", F.when(F.size(keys) > 0, F.array_join(keys, ", ")))
+    return typed.drop("row").withColumn(
+        "problem", F.coalesce(problem, F.when(F.col("r.task_id").isNull(), F.lit("task_id is no whole number")))
+    )
 
 
-def one_per_id(batch: DataFrame) -> DataFrame:
-    """One row per task id; equal ids of a batch are reduced before the shuffle."""
-    rows = batch.groupBy("task_id").agg(
-        F.min_by(F.struct(*batch.columns), F.xxhash64("content", "completion", "test_code")).alias("r")
-    )
-    return rows.select("r.*")
+def sorted_out(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tasks with one row per id, and the (file, raw, problem) of all other rows.
+
+    Equal rows of an id are one.  Of differing rows the first in text order counts
+    and the others are told apart as such.
+    """
+    seen = judged(lines)
+    good = seen.filter("problem IS NULL")
+    first = good.groupBy("r.task_id").agg(F.min("raw").alias("first"))
+    named = good.withColumn("task_id", F.col("r.task_id")).join(first, "task_id")
+    rows = first.select(F.from_json("first", TASK).alias("r")).select("r.*")
+    others = named.filter(F.col("raw") != F.col("first")).withColumn("problem", F.lit("another row has this task_id"))
+    bad = seen.filter("problem IS NOT NULL").select("file", "raw", "problem")
+    return rows, bad.unionByName(others.select("file", "raw", "problem"))
 
 
 def diagnose_batch(store: RunStore, rules: list | None = None) -> Callable[[DataFrame, int], None]:
-    """Append the diagnoses of the ids the log does not have yet.
+    """Append the diagnoses of the ids the log does not have yet; set bad rows aside.
 
     The log itself is the truth about which ids are done: ids stay unique for
-    ever, also when a batch is replayed after a failure.
+    ever, also when a batch is replayed after a failure.  Rows set aside carry the
+    batch, so that a replay can be told from a second occurrence.
     """
 
-    def run(batch: DataFrame, _: int) -> None:
+    def run(batch: DataFrame, number: int) -> None:
+        rows, bad = sorted_out(batch)
         done = store.read_or_empty("diagnoses", DIAGNOSIS)
-        store.write(new_diagnoses(unprocessed(one_per_id(batch), done), rules), "diagnoses", "append")
+        store.write(new_diagnoses(unprocessed(rows, done), rules), "diagnoses", "append")
+        store.write(bad.withColumn("batch", F.lit(number).cast("long")), QUARANTINE, "append")
 
     return run
 
 
 def start(
-    tasks: DataFrame, store: RunStore, checkpoint: str, rules: list | None = None, trigger: dict | None = None,
+    lines: DataFrame, store: RunStore, checkpoint: str, rules: list | None = None, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the ingest; by default it works off what is there and stops."""
-    observed = tasks.observe(
-        "ingest", F.count(F.lit(1)).alias("processed"), F.count_if(F.col("task_id").isNull()).alias("errors")
+    observed = judged(lines).observe(
+        "ingest", F.count(F.lit(1)).alias("processed"), F.count_if(F.col("problem").isNotNull()).alias("errors")
     )
     return (
-        observed.writeStream.foreachBatch(diagnose_batch(store, rules))
+        observed.select("file", "raw").writeStream.foreachBatch(diagnose_batch(store, rules))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
