@@ -258,3 +258,61 @@ def test_run_end_to_end_and_resume(spark, tmp_path):
     assert store.read_or_empty("events", EVENT_LOG).filter("stage <> 'synthesize'").count() == 0
     with pytest.raises(ValueError, match="Duplicate task_id"):
         run(spark, table.union(table), str(tmp_path), "r2")
+
+
+def test_each_task_keeps_one_diagnosis_whatever_an_analyzer_answers(spark):
+    def odd_analyzer(batches):
+        """Leaves one task out, answers one twice with a foreign value, one outside the taxonomy, and one nobody asked for."""
+        for pdf in batches:
+            out = []
+            for task in [*pdf["task_id"], 77]:
+                row = {"task_id": task, "fault_type": "surface", "sub_tags": ["logic_error"], "severity": "low", "description": "d",
+                       "evidence": {"wrong_line": "w", "correct_approach": "c", "failed_test": "t"}, "enriched_labels": {"k": "v"},
+                       "confidence": 0.5, "diagnosis_source": "model_deep", "prompt_version": "x"}
+                if task == 2:
+                    continue
+                out.append(row)
+                if task == 3:
+                    out.append({**row, "fault_type": "foreign", "confidence": 9.0})
+                if task == 4:
+                    row["sub_tags"] = ["no such tag"]
+                if task == 5:
+                    row["severity"] = "awful"
+            yield pd.DataFrame(out, columns=DIAGNOSIS.fieldNames())
+
+    events = []
+    found = diagnose(
+        tasks(spark, [{"task_id": i, "completion": "fine"} for i in range(1, 6)]), deep=odd_analyzer,
+        on_events=lambda e: events.extend(e.collect()),
+    ).collect()
+    assert {r["task_id"]: r["sub_tags"][0] for r in found} == {1: "logic_error", **dict.fromkeys([2, 3, 4, 5], "deep_analysis")}
+    assert len(found) == 5
+    told = {r["task_id"]: r["message"] for r in events}
+    assert told[2] == "not answered" and told[3] == "answered in several ways" and told[5].startswith("invalid: severity")
+    assert sorted(told) == [2, 3, 4, 5]
+
+
+def test_analyzers_see_every_diagnosis_of_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(co, "CHUNK_ROWS", 10)
+    rows = diagnoses(spark, [{"task_id": i} for i in range(60)] + [{"task_id": 100, "sub_tags": ["off_by_one"]}])
+
+    def analyze(batches):
+        for pdf in batches:
+            out = []
+            for key, payload in zip(pdf["cluster_key"], pdf["payload"]):
+                told = json.loads(payload)
+                if told["sub_tags"] == ["off_by_one"]:
+                    continue  # never answered
+                ids = [d["task_id"] for d in told["diagnoses"]]
+                out.append((key, json.dumps({"refined_root_cause": "why", "capability_cliff": "c", "misdiagnosed_ids": ids,
+                                             "cluster_coherence": 0.5, "semantic_merges": []})))
+            yield pd.DataFrame(out, columns=["cluster_key", "answer"])
+
+    groups = spark.createDataFrame(
+        [("implementation", "logic_error", 60, [0], 0), ("implementation", "off_by_one", 1, [100], 100)],
+        "fault_type string, tag string, frequency long, sample_task_ids array<long>, min_task_id long",
+    ).withColumns({"statuses": F.array(F.lit("passed")), "levels": F.array(F.lit("self_check"))})
+    got = {r["tag"]: r for r in co.analyzed(groups, rows, None, analyze).collect()}
+    assert sorted(got["logic_error"]["narrative"]["misdiagnosed_ids"]) == list(range(60))
+    assert got["logic_error"]["rows_seen"] == 60 and got["logic_error"]["problem"] is None
+    assert got["off_by_one"]["problem"] == "not answered" and got["off_by_one"]["narrative"]["refined_root_cause"]

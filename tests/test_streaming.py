@@ -30,3 +30,19 @@ def test_ingest_keeps_ids_unique_and_equals_batch(spark, tmp_path):
     stored = store.read("diagnoses", DIAGNOSIS).collect()
     batch = diagnose(spark.read.schema(TASK).json(str(folder)).dropDuplicates(["task_id"])).collect()
     assert sorted(map(str, stored)) == sorted(map(str, batch)) and len(stored) == 5
+
+
+def test_bad_and_differing_rows_are_set_aside(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    put(folder, "a.json", [1, 2])
+    good = (folder / "a.json").read_text(encoding="utf-8").splitlines()
+    changed = good[1].replace('"KeyError"', '"other"').replace('"ok"', '"other"')
+    (folder / "a.json").write_text("\n".join([*good, "{broken", "", '{"task_id": 7}', good[0], changed, '[1]']), encoding="utf-8")
+    store = RunStore(spark, str(tmp_path / "out"), "live")
+    for _ in range(2):
+        ingest.start(ingest.task_stream(spark, str(folder)), store, str(tmp_path / "ck")).awaitTermination(120)
+    assert sorted(r["task_id"] for r in store.read("diagnoses", DIAGNOSIS).collect()) == [1, 2]
+    aside = spark.read.parquet(store.path(ingest.QUARANTINE)).collect()
+    assert sorted(r["raw"] for r in aside) == sorted(["{broken", '{"task_id": 7}', "[1]", max(good[1], changed)])
+    assert all(r["problem"] and r["file"].endswith("a.json") for r in aside)
