@@ -153,6 +153,27 @@ def compared(threshold: float):
     return compare
 
 
+def blocks_of(members: DataFrame) -> DataFrame:
+    """(node, block): each class in a piece of bounded size of its largest bucket.
+
+    Hardly any bucket holds all of a large group, so some of its classes end in small
+    buckets.  Where fewer than half a block chose a bucket, they gather with others
+    whose bucket is mostly made up of classes that chose the same one.
+    """
+    home = members.groupBy("node").agg(F.max(F.struct("members", "bucket", "grams")).alias("home"))
+    homes = pinned(home.select("node", F.col("home.bucket").alias("home"), "home.grams"))
+    votes = homes.groupBy("home").agg(F.count("*").alias("votes"))
+    usual = (
+        members.select("bucket", "node").join(homes.select("node", "home"), "node").groupBy("bucket", "home").agg(F.count("*").alias("n"))
+        .groupBy(F.col("bucket").alias("home")).agg(F.max(F.struct("n", "home")).alias("most")).select("home", F.col("most.home").alias("usual"))
+    )
+    gathered = F.when(F.col("votes") * 2 < BLOCK_CLASSES, F.xxhash64(F.lit("rest"), "usual")).otherwise(F.col("home"))
+    placed = pinned(homes.join(votes, "home").join(usual, "home").select("node", "grams", gathered.alias("group")))
+    sizes = placed.groupBy("group").agg(F.count("*").alias("held"), F.sum("grams").alias("weight"))
+    pieces = F.greatest(F.ceil(F.col("held") / BLOCK_CLASSES), F.ceil(F.col("weight") / BLOCK_GRAMS), F.lit(1))
+    return pinned(placed.join(sizes, "group").select("node", F.xxhash64("group", F.pmod(F.xxhash64("node"), pieces)).alias("block")))
+
+
 def linked_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, n: int = 5, recall: float = 0.9999, seed: int = 11,
 ) -> tuple[DataFrame, DataFrame]:
@@ -170,11 +191,9 @@ def linked_classes(
     )
     # buckets of two classes or more; counts are combined before the shuffle
     entries = classes.select("node", "grams", F.explode_outer("bands").alias("bucket"))
-    buckets = entries.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("grams").alias("weight")).filter("members > 1")
-    members = pinned(entries.join(buckets, "bucket").select("bucket", "node", "members", "weight"))
-    home = members.groupBy("node").agg(F.max(F.struct("members", "bucket", "weight")).alias("home"))
-    pieces = F.greatest(F.ceil(F.col("home.members") / BLOCK_CLASSES), F.ceil(F.col("home.weight") / BLOCK_GRAMS), F.lit(1))
-    homes = pinned(home.select("node", F.xxhash64("home.bucket", F.pmod(F.xxhash64("node"), pieces)).alias("block")))
+    buckets = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    members = pinned(entries.join(buckets, "bucket").select("bucket", "node", "members", "grams"))
+    homes = blocks_of(members)
     met = members.join(homes, "node").select("bucket", "block").distinct()
     pairs = (
         met.select("bucket", F.col("block").alias("a")).join(met.select("bucket", F.col("block").alias("b")), "bucket")
