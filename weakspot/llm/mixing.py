@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weakspot.llm.common import UPPER, fraction_of, held, pinned, read, with_names, words
 
-BUCKETS = 1 << 14
-TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
+BUCKETS = 1 << 13
+TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
 
 
 def domains_of_labels(labels: DataFrame) -> DataFrame:
@@ -133,15 +133,19 @@ def with_posteriors(docs: DataFrame, model: Classifier, text: str, n: str, poste
 
 
 def rate_of(posterior: list[Column], history: list[list[float]]) -> Column:
-    """The rate after the steps taken so far."""
-    rate = F.lit(1.0)
-    for pull in history:
-        move = sum((p * F.lit(float(w)) for p, w in zip(posterior, pull)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+    """The rate after the steps taken so far; one small expression however many they are."""
+    if not history:
+        return F.lit(1.0)
+    steps = F.array(*[F.array(*[F.lit(float(w)) for w in pull]) for pull in history])
 
+    def moved(rate: Column, step: Column) -> Column:
+        move = sum((p * step[k] for k, p in enumerate(posterior)), F.lit(0.0))
+        return F.greatest(F.lit(0.0), rate - move)
 
-def fitted(table: DataFrame, n: str, posterior: list[str], targets: list[float], iterations: int = 40, tolerance: float = 1e-6) -> list[list[float]]:
+    return F.aggregate(steps, F.lit(1.0), moved)
+
+
+def fitted(table: DataFrame, n: str, posterior: list[str], targets: list[float], iterations: int = 25, tolerance: float = 1e-6) -> list[list[float]]:
     """History of gradients until the expected totals meet the targets, or no step brings them nearer.
 
     A step is first taken in the metric of the documents that still have a rate, which
@@ -151,10 +155,13 @@ def fitted(table: DataFrame, n: str, posterior: list[str], targets: list[float],
     size = len(posterior)
     columns = [F.col(p) for p in posterior]
 
-    def sums(rate: Column) -> tuple[float, np.ndarray, np.ndarray]:
-        live = F.when(rate > 0, F.col(n)).otherwise(F.lit(0))
-        row = table.agg(
-            F.sum(n), *[F.sum(rate * F.col(n) * p) for p in columns], *[F.sum(live * a * b) for a in columns for b in columns],
+    rate = with_names(table, ["rate"])["rate"]
+
+    def sums() -> tuple[float, np.ndarray, np.ndarray]:
+        now = held(table, rate, rate_of(columns, history))
+        live = F.when(F.col(rate) > 0, F.col(n)).otherwise(F.lit(0))
+        row = now.agg(
+            F.sum(n), *[F.sum(F.col(rate) * F.col(n) * p) for p in columns], *[F.sum(live * a * b) for a in columns for b in columns],
         ).first()
         values = np.array([float(v or 0) for v in row])
         return values[0], values[1: 1 + size], values[1 + size:].reshape(size, size)
@@ -163,7 +170,7 @@ def fitted(table: DataFrame, n: str, posterior: list[str], targets: list[float],
     metric = goal = gap = None
     nearest, bold = math.inf, False
     for _ in range(iterations):
-        total, now, gram = sums(rate_of(columns, history))
+        total, now, gram = sums()
         if total == 0:
             return []
         if metric is None:
