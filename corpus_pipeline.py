@@ -2,7 +2,8 @@
 
 Each stage takes all that its predecessor kept.  All but the last return the columns
 of documents; the last adds the words, the posterior of each domain, the rate and
-the copies of each document, and leaves out documents whose rate is 0.
+the copies of each document.  It filters nothing: a document that the mixture leaves
+out has the rate 0 and no copy.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rates at which the documents meet the target weights of the domains."""
     rows, _ = mixed(docs, domains_of_labels(read(spark, sf_dir, "labels")), TARGETS)
-    return drawn(rows.filter(F.col("rate") > 0))
+    return drawn(rows)
 
 
 STAGES = [

@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weakspot.llm.common import WORD_BYTES, read, with_names, word_list
+from weakspot.llm.common import UPPER, WORD_BREAK, WORD_BYTES, read, with_names, word_list
 
 # fixed values: phrases with their labels, and words of well-known notices
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
@@ -154,3 +154,34 @@ def scan_licenses(
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "license.*").drop("blocks")
+
+
+def _words_sql(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), '{UPPER}', '{UPPER.lower()}')"
+    return f"list_filter(string_split_regex({low}, '{WORD_BREAK}'), lambda w: w <> '')"
+
+
+def _rows(rows: list[tuple[str, str]]) -> str:
+    return ", ".join(f"({n}, '{a}', '{b}')" for n, (a, b) in enumerate(rows))
+
+
+OP8_SQL = rf"""
+WITH phrase AS (SELECT label, string_split(p, ' ') AS p FROM (VALUES {_rows(PHRASES)}) AS v(n, p, label)),
+template AS (SELECT n, label, list_distinct({_words_sql('t')}) AS t FROM (VALUES {_rows(TEMPLATES)}) AS v(n, label, t)),
+doc AS (SELECT row_number() OVER () AS r, doc_id, text, {_words_sql('text')} AS w FROM documents),
+place AS (SELECT r, label, i FROM (SELECT r, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i FROM doc, phrase WHERE len(w) >= len(p))
+  WHERE w[i:i + len(p) - 1] = p),
+base AS (SELECT r, count(*) AS n, min(i) - 1 AS first, max(i) - 1 AS last, list(DISTINCT label) AS labels FROM place GROUP BY r),
+block AS (SELECT r, list_distinct({_words_sql('b')}) AS b FROM (SELECT r, unnest(string_split_regex(coalesce(text, ''), '
+[^\S
+]*
+')) AS b FROM doc)),
+found AS (SELECT r, label, len(list_intersect(b, t)) / len(t) AS share FROM block, template
+  WHERE len(list_intersect(b, t)) >= ceil(0.9 * len(t) - 1e-9)),
+method AS (SELECT r, max(share) AS share, list(DISTINCT label) AS labels FROM found GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(first AS BIGINT) AS first_word,
+  CAST(last AS BIGINT) AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(method.labels, [])))), ','), '') AS labels,
+  CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM doc LEFT JOIN base USING (r) LEFT JOIN method USING (r)
+"""

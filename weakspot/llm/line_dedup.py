@@ -131,3 +131,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     cut = without_recurring_lines(docs, counts=("n_lines", "n_dropped"))
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT DISTINCT r, doc_id, line FROM (SELECT r, doc_id, trim(unnest(lines), ' ') AS line FROM doc WHERE text IS NOT NULL) WHERE line <> ''),
+parsed AS (SELECT *, string_split(line, ' ') AS t FROM line),
+keyed AS (SELECT *, CAST(len(t) AS VARCHAR) || ' ' || regexp_replace(array_to_string(t[1:4], ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS leaf FROM parsed),
+kept AS (SELECT * FROM keyed WHERE leaf IN (SELECT leaf FROM keyed GROUP BY leaf HAVING count(*) >= 3)),
+token AS (SELECT leaf, pos, token, count(*) AS n FROM (SELECT leaf, unnest(range(1, len(t) + 1)) AS pos, unnest(t) AS token FROM kept) GROUP BY ALL),
+best AS (SELECT leaf, pos, token FROM (SELECT *, row_number() OVER (PARTITION BY leaf, pos ORDER BY n DESC, token) AS k FROM token) WHERE k = 1),
+common AS (SELECT leaf, list(token ORDER BY pos) AS c FROM best GROUP BY leaf),
+own AS (SELECT k.*, CASE WHEN len(list_filter(range(1, len(t) + 1), lambda i: t[i] = c[i])) >= 0.8 * len(c) THEN k.leaf
+  ELSE k.leaf || chr(10) || regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') END AS template FROM kept k JOIN common USING (leaf)),
+recurring AS (SELECT template, min(doc_id) AS first, bool_or(doc_id IS NULL) AS unnamed FROM own GROUP BY template HAVING count(*) >= 3),
+gone AS (SELECT r, list(line) AS g FROM own JOIN recurring USING (template)
+  WHERE doc_id IS DISTINCT FROM CASE WHEN unnamed THEN NULL ELSE first END GROUP BY r),
+cut AS (SELECT doc_id, text, lines, CASE WHEN g IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(g, trim(x, ' '))) END AS rest
+  FROM doc LEFT JOIN gone USING (r))
+SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(lines) END AS BIGINT) AS n_lines,
+  CAST(CASE WHEN text IS NULL THEN 0 ELSE len(lines) - len(rest) END AS BIGINT) AS n_dropped,
+  sha256(CASE WHEN text IS NULL THEN '' ELSE array_to_string(rest, chr(10)) END) AS kept_sha256
+FROM cut
+"""

@@ -6,8 +6,8 @@ from weakspot.llm.decontamination import OP7_SQL, op7_decontamination
 from weakspot.llm.embedding_near_dup import op4_embedding_near_dup
 from weakspot.llm.jaccard_join import op10_jaccard_join
 from weakspot.llm.language_id import op9_language_id
-from weakspot.llm.license_scan import op8_license_scan
-from weakspot.llm.line_dedup import op3_line_dedup
+from weakspot.llm.license_scan import OP8_SQL, op8_license_scan
+from weakspot.llm.line_dedup import OP3_SQL, op3_line_dedup
 from weakspot.llm.mixing import op2_mixing
 from weakspot.llm.quality_classifier import op5_quality_classifier
 from weakspot.llm.secret_scan import op6_secret_scan
@@ -18,4 +18,6 @@ QUERIES = {
     for f in (op1_token_counts, op2_mixing, op3_line_dedup, op4_embedding_near_dup, op5_quality_classifier, op6_secret_scan,
               op7_decontamination, op8_license_scan, op9_language_id, op10_jaccard_join)
 }
-CHECKS: dict[str, str] = {"op7_decontamination": OP7_SQL}
+CHECKS: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op8_license_scan": OP8_SQL,
+}
