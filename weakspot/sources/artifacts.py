@@ -1,7 +1,6 @@
 """Stage artifacts: one dataset per stage, partitioned by run."""
 
 import re
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -64,14 +63,13 @@ class RunStore:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the one the cluster names.
 
-    Only a session on one machine that names none gets a folder of its own.
+    Only a session on one machine that names none gets one beside its warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="weakspot-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_written"
     return configured.rstrip("/")
 
 
