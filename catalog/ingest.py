@@ -9,6 +9,7 @@ from weakspot import fixed_values as fixed
 from weakspot.schemas import DIAGNOSIS
 from weakspot.sources import gate, jsonl
 from weakspot.sources import tasks as tk
+from weakspot.streaming import ingest
 
 # ``events`` written out as real-log JSON lines, read by both engines
 _PASS = """CASE event_id % 9 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN '1.0' WHEN 3 THEN 'true'
@@ -135,3 +136,19 @@ def split_issues(spark, sf):
 def duplicate_task_ids(spark, sf):
     """Ids that occur more than once (user ids, so that there are some)."""
     return tk.duplicate_ids(table(spark, sf, "events").select(F.col("user_id").alias("task_id")))
+
+
+# events as task lines: some broken, some without keys, some with the id of the event before
+_TASK_LINE = """CASE event_id % 10 WHEN 0 THEN '{broken ' || event_type WHEN 1 THEN '{"task_id": ' || CAST(event_id AS STRING) || '}'
+  ELSE '{"task_id": ' || CAST(event_id - CASE event_id % 10 WHEN 3 THEN 1 ELSE 0 END AS STRING) || ', "content": "' || event_type
+  || CAST(event_id AS STRING) || '", "canonical_solution": "", "completion": "c", "test_code": "", "labels": {}, "accepted": false, "metrics": "{}", "extra": "{}"}' END"""
+
+
+@query("""WITH kind AS (SELECT CASE event_id % 10 WHEN 0 THEN 'not' WHEN 1 THEN 'missing' WHEN 3 THEN 'another' ELSE 'accepted' END AS outcome FROM events)
+SELECT outcome, count(*) AS n FROM kind GROUP BY ALL""")
+def stream_rejects(spark, sf):
+    """Lines of a batch by what the ingest does with them."""
+    raw = table(spark, sf, "events").select(F.lit("events").alias("file"), F.expr(_TASK_LINE).alias("raw"))
+    rows, bad = ingest.sorted_out(raw)
+    outcome = F.substring_index("problem", " ", 1).alias("outcome")
+    return rows.select(F.lit("accepted").alias("outcome")).unionByName(bad.select(outcome)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
