@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog import load
 
 SF = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = load().QUERIES, load().CHECKS
 
 
 @pytest.fixture(scope="module")
@@ -43,4 +44,5 @@ def test_query(name, spark, con):
 
 
 def test_every_check_has_a_query():
-    assert set(CHECKS) <= set(QUERIES)
+    assert set(CHECKS) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
