@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weakspot.llm.common import fraction_of, read
+from weakspot.llm.common import fraction_of, read, with_names
 
 BAD, ABSTAIN, GOOD = 0, 1, 2
 BUCKETS = 1 << 14
@@ -186,10 +186,11 @@ def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", train_
             out.append((labels[pattern(seen)], float(1 / (1 + np.exp(-np.clip(margin, -500, 500)))) if len(found) else 0.0))
         return pd.DataFrame(out, columns=["weak_label", "score"])
 
-    found = docs.drop("weak_label", "score", "kept").withColumn("_quality", scored(F.col(text)))
+    name = with_names(docs, ["quality"])["quality"]
+    found = docs.drop("weak_label", "score", "kept").withColumn(name, scored(F.col(text)))
     return found.withColumns({
-        "weak_label": F.col("_quality.weak_label"), "score": F.col("_quality.score"), "kept": F.col("_quality.score") >= 0.5,
-    }).drop("_quality")
+        "weak_label": F.col(f"{name}.weak_label"), "score": F.col(f"{name}.score"), "kept": F.col(f"{name}.score") >= 0.5,
+    }).drop(name)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
