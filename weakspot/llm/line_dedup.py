@@ -70,6 +70,8 @@ def templates(lines: DataFrame, similarity: float) -> DataFrame:
         .groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", "best.token"))).alias("common"))
         .withColumn("common", F.col("common.token"))
     )
+    # kept first, so that the join shuffles both sides and a leaf of many lines can be split
+    common = pinned(common)
     equal = F.filter(F.zip_with(F.split("line", " "), "common", lambda a, b: a == b), lambda same: same)
     close = F.size(equal) >= F.lit(similarity) * F.size("common")
     own = F.xxhash64("leaf", masked(F.col("line")))
