@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from weakspot.llm.common import read
+from weakspot.llm.common import pinned, read
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MOST_VOCABULARY_BYTES = 64_000_000
@@ -64,7 +64,8 @@ def histogram(counted: DataFrame, by: list[str] | None = None, length: str = "n_
     """
     by = by or []
     sizes = counted.groupBy(*by, F.col(length).alias("length")).agg(F.count("*").alias("n_docs"))
-    sizes = sizes.withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("_span", F.expr(f"length div {SPAN}"))
+    # a row per length, read twice below
+    sizes = pinned(sizes.withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("_span", F.expr(f"length div {SPAN}")))
     within = Window.partitionBy(*by, "_span").orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, 0)
     spans = sizes.groupBy(*by, "_span").agg(F.sum("n_docs").alias("_docs"), F.sum("n_tokens").alias("_tokens"))
     longer = Window.partitionBy(*by).orderBy(F.desc("_span")).rowsBetween(Window.unboundedPreceding, -1)
