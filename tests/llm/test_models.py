@@ -137,3 +137,17 @@ def test_mixing_keeps_all_rows(spark, table, prose):
     copies = [r.copies for r in M.drawn(rows).collect()]
     assert abs(sum(copies) - sum(r.rate for r in got)) < 30
     assert M.mixed(table([]), M.domains_of_labels(labels), M.TARGETS)[0].count() == 0
+
+
+def test_mixing_goes_its_whole_way_to_the_targets(spark):
+    assert (M.TARGETS, M.BUCKETS) == ({"good": 0.93, "poor": 0.05, "toxic": 0.02}, 1 << 14)
+    draw = np.random.default_rng(2)
+    p, n = draw.dirichlet([3, 1, 0.3], 300), draw.integers(0, 400, 300)
+    table = spark.createDataFrame([(int(a), *map(float, b)) for a, b in zip(n, p)], "n long, a double, b double, c double").coalesce(1).cache()
+    goal = np.array([0.7, 0.01, 0.29])
+    history = M.fitted(table, "n", ["a", "b", "c"], goal.tolist())
+    rates = np.ones(300)
+    for step in history:
+        rates = np.maximum(0, rates - p @ np.array(step))
+    # many rates reach 0 here, and 25 iterations stop at 0.163
+    assert np.abs((rates * n) @ p / n.sum() - goal).sum() < 0.155
