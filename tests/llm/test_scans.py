@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import secrets
 import string
@@ -82,3 +83,17 @@ def test_every_block_above_the_threshold_is_found(spark, prose):
 def test_empty_tables(table):
     assert S.scan_secrets(table([])).count() == 0 and L.scan_licenses(table([])).count() == 0
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
+
+
+def test_keys_behind_names_and_in_paths_are_candidates():
+    draw = random.Random(8)
+    make = lambda marks, n: "".join(draw.choice(string.ascii_letters + string.digits + marks) for _ in range(n))
+    key, slashed, dashed = make("", 40), f"{make('', 25)}/{make('', 9)}+{make('', 6)}", f"{make('', 25)}_{make('', 9)}-{make('', 6)}"
+    for text in (f"AWS_KEY_OF_ALL={key}", f"path_a/{key}", f"SOME_NAME={key}==", f"A-B_C={slashed}", f"some/path/{dashed}", f"path_a/{slashed}", f"x=1/y={key}"):
+        want = next(k for k in (key, slashed, dashed) if k in text)
+        found = [c for c in S.candidates(text) if c[2].rstrip("=").endswith(want) and S.randomness(c[2]) > 1e-3]
+        assert found and all(text[start:end] == c for start, end, c in found), text
+        spans = [text[start:end] for kind, start, end in S.spans_of(text, [1e-3] * 5) if kind == "random"]
+        assert len(spans) == 1 and want in spans[0] and "=" not in spans[0].rstrip("="), text
+    assert S.candidates("=" * 30 + " " + "_" * 19 + "/" + "-" * 19) == []
+    assert all(S.encoding_of(c.rstrip("=")) for _, _, c in S.candidates(f"a_b/c+{key}=d_e/{key}-+/_"))

@@ -1,15 +1,20 @@
 """Secret scan: fixed patterns plus a battery of randomness tests.
 
 The patterns give the base spans.  Besides, every run of 20 or more characters of a
-key alphabet is a candidate.  Its encoding is inferred from its characters and three
-tests of "drawn at random from that alphabet" are made: chi-squared for a uniform
+key alphabet is looked at.  It is split at each `=` that is not padding at its end; a
+part is a candidate, and so are its pieces between `/`, between `_` and `-`, and
+between all of them, if they have 20 or more characters and an alphabet holds them.  So
+NAME=<key> and path_a/<key> are found as well as keys that hold those marks; of nested
+candidates beyond the cut the longest is reported.  A candidate's encoding is inferred
+from its characters and three tests of "drawn at random from that alphabet" are made: chi-squared for a uniform
 alphabet, the number of runs above and below the middle of the alphabet, and the
 serial correlation of neighbours.  Fisher's sum joins them into one p-value, high
 for random strings.
 
 How often ordinary writing of the same length passes for random is taken from the
-corpus: each document gives, for each length class, one stretch of its running text
-without blanks.  Per length class, the cut on the p-value is the lowest at which the
+corpus: the whole running text of each document, without blanks, is cut into stretches
+that follow each other, once for each length class.  What is left at the end is shorter
+than the class.  Per length class, the cut on the p-value is the lowest at which the
 expected number of ordinary strings among the candidates beyond the cut is at most
 `rate` of them (Benjamini-Hochberg on a grid).  Counts cover all documents; what
 reaches the driver is one row per class and cell of the grid.
@@ -42,6 +47,10 @@ LEAST = 20
 #: bytes that a candidate may hold; all others become blanks
 KEY_BYTES = bytes(b if chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-" else 32 for b in range(256))
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}")
+#: what stands between the signs of equality of a run, with the padding at its end
+VALUE = re.compile(r"[^=]+(?:=+\Z)?")
+#: a whole value, and its pieces between marks that are in some alphabets and not in others
+PIECES = [re.compile(p) for p in (r".+", r"[^/]+", r"[^_-]+", r"[^/_-]+")]
 #: least lengths of the classes
 CLASSES = [20, 28, 40, 64, 128]
 #: lower bounds of the cells of the grid over p
@@ -112,12 +121,24 @@ def cell_of(p: float) -> int:
     return int(np.searchsorted(CELLS, p, side="right")) - 1
 
 
+def parts_of(run: str) -> Iterator[tuple[int, int]]:
+    """Spans of the candidates within a run, longer ones before those within them."""
+    for value in VALUE.finditer(run):
+        begin = value.start()
+        spans = {m.span() for pattern in PIECES for m in pattern.finditer(value[0])}
+        for start, end in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
+            if end - start >= LEAST and encoding_of(value[0][start:end].rstrip("=")):
+                yield begin + start, begin + end
+
+
 def candidates(text: str, raw: bytes | None = None) -> list[tuple[int, int, str]]:
-    """Long runs of key characters; the bytes tell cheaply whether there are any."""
+    """Parts of long runs of key characters; the bytes tell cheaply whether there are any."""
     raw = text.encode("utf-8", "surrogatepass") if raw is None else raw
     if max(map(len, raw.translate(KEY_BYTES).split()), default=0) < LEAST:
         return []
-    return [(m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text)]
+    return [
+        (m.start() + start, m.start() + end, m[0][start:end]) for m in CANDIDATE.finditer(text) for start, end in parts_of(m[0])
+    ]
 
 
 def ordinary(text: str) -> Iterator[str]:
@@ -185,8 +206,11 @@ def spans_of(text: str, limits: list[float]) -> list[tuple[str, int, int]]:
         spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 32]
         base = list(spans)
         for start, end, found in long:
-            if randomness(found) >= limits[length_class(len(found))] and not any(s < end and start < e for _, s, e in base):
+            if any(s < end and start < e for _, s, e in base):
+                continue
+            if randomness(found) >= limits[length_class(len(found))]:
                 spans.append(("random", start, end))
+                base.append(spans[-1])  # the pieces of what is reported are not reported again
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
