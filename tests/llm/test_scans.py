@@ -3,6 +3,9 @@ import random
 import re
 import secrets
 import string
+from collections import Counter
+
+import numpy as np
 
 from weakspot.llm import license_scan as L, secret_scan as S
 
@@ -97,3 +100,18 @@ def test_keys_behind_names_and_in_paths_are_candidates():
         assert len(spans) == 1 and want in spans[0] and "=" not in spans[0].rstrip("="), text
     assert S.candidates("=" * 30 + " " + "_" * 19 + "/" + "-" * 19) == []
     assert all(S.encoding_of(c.rstrip("=")) for _, _, c in S.candidates(f"a_b/c+{key}=d_e/{key}-+/_"))
+
+
+def test_all_running_text_counts_as_ordinary(spark, prose):
+    texts = [prose(1, 3000), "tiny words", None, "", prose(2, 30) + " é= " + "Ab+/9= x_-Z " * 40, "7 " * 70, "ab " * 100]
+    want = Counter()
+    for text in texts:
+        letters = "".join(w for w in re.split("[^A-Za-z0-9+/=_-]+", text or "") if len(w) < S.LEAST)
+        for group, least in enumerate(S.CLASSES):
+            for at in range(0, len(letters) - least + 1, least):
+                want[group, S.cell_of(S.randomness(letters[at: at + least]))] += 1
+    got = S.histogram(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {key: plain for key, (_, plain) in got.items() if plain} == dict(want)
+    rows = [prose(i, 40).replace(" ", "")[:64] for i in range(50)] + [secrets.token_hex(32), "7" * 64, "+_" * 32]
+    fast = S.randomness_of_rows(np.frombuffer("".join(rows).encode(), dtype=np.uint8).reshape(-1, 64))
+    assert np.allclose(fast, [S.randomness(r) for r in rows])

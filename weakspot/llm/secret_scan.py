@@ -141,15 +141,75 @@ def candidates(text: str, raw: bytes | None = None) -> list[tuple[int, int, str]
     ]
 
 
-def ordinary(text: str) -> Iterator[str]:
-    """For each length class, a stretch of running text from the middle of the document."""
-    middle = len(text) // 2
-    near = text[max(0, middle - 4 * CLASSES[-1]): middle + 4 * CLASSES[-1]]
-    letters = "".join(w for w in near.encode("utf-8", "replace").translate(KEY_BYTES).decode("ascii").split(" ") if len(w) < LEAST)
-    for least in CLASSES:
-        if len(letters) >= least:
-            start = (len(letters) - least) // 2
-            yield letters[start: start + least]
+#: per byte a bit for each alphabet that holds it, and its place in each
+BITS_OF = np.array([sum(1 << k for k, held in enumerate(MEMBERS.values()) if chr(b) in held) for b in range(256)], dtype=np.uint8)
+PLACE_OF = np.array([[places.get(chr(b), 0) for b in range(256)] for places in PLACES.values()], dtype=np.int16)
+SIZE_OF = np.array([len(a) for a in ALPHABETS.values()])
+#: characters whose stretches are worked off at once
+AT_ONCE = 1 << 18
+
+
+def tails(z: np.ndarray) -> np.ndarray:
+    return np.fromiter(map(math.erfc, (np.abs(z) / math.sqrt(2)).tolist()), dtype=float, count=len(z))
+
+
+def randomness_of_rows(chars: np.ndarray) -> np.ndarray:
+    """`randomness` of each row of a matrix of bytes without padding, at least 8 to a row."""
+    rows, n = chars.shape
+    fits = np.bitwise_and.reduce(BITS_OF[chars], axis=1)
+    name = np.log2(np.maximum(1, fits & -fits.astype(np.int16))).astype(np.int64)  # the lowest bit
+    size = SIZE_OF[name]
+    numbers = PLACE_OF[name[:, None], chars]
+    seen = np.bincount((numbers + 64 * np.arange(rows)[:, None]).ravel(), minlength=64 * rows).reshape(rows, 64)
+    pairs = ((seen * seen).sum(axis=1) - n) // 2
+    chi = size * 2 * pairs / n + size - n
+    spread = np.sqrt(np.maximum(1e-9, 2 * (size - 1) * (n - 1) / n))
+    uniform = np.where(pairs > n * (n - 1) / 2 / size, tails((chi - (size - 1)) / spread), 1.0)
+    high = 2 * numbers >= size[:, None]
+    above = high.sum(axis=1)
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    mean = 2 * above * (n - above) / n + 1
+    variance = (mean - 1) * (mean - 2) / (n - 1)
+    crossing = np.where((above > 0) & (above < n), tails((runs - mean) / np.sqrt(np.maximum(variance, 1e-9))), 0.0)
+    values = numbers - numbers.mean(axis=1, keepdims=True)
+    scale = np.einsum("ij,ij->i", values, values)
+    serial = np.where(scale > 0, tails(np.einsum("ij,ij->i", values[:, :-1], values[:, 1:]) / np.where(scale > 0, scale, 1) * math.sqrt(n)), 0.0)
+    some = (fits > 0) & (np.minimum(np.minimum(uniform, crossing), serial) > 0)
+    half = -sum(np.log(np.where(some, p, 1.0)) for p in (uniform, crossing, serial))
+    return np.where(some, np.exp(-half) * (1 + half + half * half / 2), 0.0)
+
+
+def running(text: str) -> bytes:
+    """The words of a text without blanks, but for those long enough to be candidates."""
+    return b"".join(w for w in text.encode("utf-8", "replace").translate(KEY_BYTES).split() if len(w) < LEAST)
+
+
+class Ordinary:
+    """Counts of all stretches of running text, by class and cell."""
+
+    def __init__(self):
+        self.counts, self.waiting, self.held = Counter(), [], 0
+
+    def add(self, text: str) -> None:
+        letters = running(text)
+        if len(letters) >= CLASSES[0]:
+            self.waiting.append(letters)
+            self.held += len(letters)
+            if self.held >= AT_ONCE:
+                self.work_off()
+
+    def work_off(self) -> None:
+        for group, least in enumerate(CLASSES):
+            cut = np.frombuffer(b"".join(w[: len(w) // least * least] for w in self.waiting), dtype=np.uint8).reshape(-1, least)
+            for at in range(0, len(cut), AT_ONCE // least):
+                # padding at the end of a stretch is not judged, as in a candidate
+                part = cut[at: at + AT_ONCE // least]
+                padded = part[:, -1] == ord("=")
+                values = [randomness_of_rows(part[~padded])] + [[randomness(bytes(row).decode("ascii"))] for row in part[padded]]
+                cells, n = np.unique(np.searchsorted(CELLS, np.concatenate(values), side="right") - 1, return_counts=True)
+                for cell, many in zip(cells.tolist(), n.tolist()):
+                    self.counts[group, cell, 1] += many
+        self.waiting, self.held = [], 0
 
 
 def histogram(docs: DataFrame, text: str = "text") -> dict[tuple[int, int], tuple[int, int]]:
@@ -157,13 +217,14 @@ def histogram(docs: DataFrame, text: str = "text") -> dict[tuple[int, int], tupl
 
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts = Counter()
+            ordinary = Ordinary()
+            counts = ordinary.counts
             for value in batch.iloc[:, 0]:
                 if value:
                     for _, _, found in candidates(value):
                         counts[length_class(len(found)), cell_of(randomness(found)), 0] += 1
-                    for stretch in ordinary(value):
-                        counts[length_class(len(stretch)), cell_of(randomness(stretch)), 1] += 1
+                    ordinary.add(value)
+            ordinary.work_off()
             if counts:  # an empty frame has no types
                 yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["class", "cell", "plain", "n"])
 
