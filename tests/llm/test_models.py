@@ -151,3 +151,17 @@ def test_mixing_goes_its_whole_way_to_the_targets(spark):
         rates = np.maximum(0, rates - p @ np.array(step))
     # many rates reach 0 here, and 25 iterations stop at 0.163
     assert np.abs((rates * n) @ p / n.sum() - goal).sum() < 0.155
+
+
+def test_samples_stay_bounded_where_ids_are_null_or_repeated(spark, table, prose, monkeypatch):
+    rows = [(None if i % 3 else i % 2, prose(i, 30)) for i in range(600)]
+    same = [(None, prose(1, 30))] * 600
+    learnt = []
+    monkeypatch.setattr(Q, "fit", lambda lists, labels, *_: learnt.append(len(lists)) or np.zeros(Q.BUCKETS + 1))
+    for docs in (rows, same):
+        Q.classify(table(docs), train_rows=60)
+    assert (not learnt or max(learnt) <= 60) and 30 <= learnt[0]
+    taken, counted = [], I.counted
+    monkeypatch.setattr(I, "counted", lambda sample, *names: taken.append(sample.count()) or counted(sample, *names))
+    I.train(spark.createDataFrame([(*r, "aa") for r in rows], "doc_id long, text string, lang string"), sample=60)
+    assert 30 <= taken[0] <= 100

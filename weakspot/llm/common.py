@@ -49,9 +49,19 @@ def with_names(df: DataFrame, taken: list[str]) -> dict[str, str]:
     return names
 
 
+def draw_of(*columns: Column) -> Column:
+    """A number below 2^40 by a hash of columns."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40))
+
+
 def fraction_of(column: Column, share: float) -> Column:
     """Whether a row falls into a share of all rows, by a hash of a column."""
-    return F.pmod(F.xxhash64(column), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    return draw_of(column) < F.lit(int(share * (1 << 40)))
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What samples are drawn by: null and repeated ids differ by their texts."""
+    return F.struct(doc_id, F.xxhash64(text))
 
 
 def held(df: DataFrame, name: str, value: Column) -> DataFrame:

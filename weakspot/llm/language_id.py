@@ -9,7 +9,7 @@ n-gram adds nothing.  The score is the posterior of the best language over all w
 of the whole text; ties go to the language that comes first.
 
 The model is fitted on a bounded sample: about `sample` labelled rows per language,
-drawn by a hash of doc_id, for the `max_languages` most frequent languages, and it
+drawn by a hash of doc_id and text, for the `max_languages` most frequent languages, and it
 holds at most `entries` words and n-grams in all, so that it can be broadcast
 whatever the corpus.  Rows whose crc32(doc_id) mod 4 is 2 are held out.  Only text
 and lang are learnt from; predictions see the text alone.
@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weakspot.llm.common import fraction_of, read, with_names
+from weakspot.llm.common import fraction_of, read, row_key, with_names
 
 UNDECIDED = "und"
 ORDERS = (5, 4, 3, 2, 1)
@@ -141,7 +141,7 @@ def train(
         return Model([], {}, {}, np.zeros((0, 0)))
     drawn = F.lit(False)
     for name, n in sizes.items():
-        drawn = drawn | ((F.col(lang) == name) & (fraction_of(F.col(doc_id), min(1.0, sample / n)) | F.lit(n <= sample)))
+        drawn = drawn | ((F.col(lang) == name) & (fraction_of(row_key(F.col(doc_id), F.col(text)), min(1.0, sample / n)) | F.lit(n <= sample)))
     share = max(1, entries // len(sizes) // (1 + len(ORDERS)))
     counts = counted(labelled.filter(drawn), text, lang)
     # the most frequent of each language and order, out of a bounded sample

@@ -7,8 +7,8 @@ votes on good and on bad documents, and how many are good.  That gives a posteri
 per pattern: the weak label.  It trains a linear scorer on hashed words and word
 shapes by logistic loss, which generalises beyond the labellers.
 
-The scorer is fitted on a bounded sample of about `train_rows` documents, drawn by a
-hash of doc_id; the pattern counts, and with them the weak labels, cover all
+The scorer is fitted on a bounded sample of at most `train_rows` documents, drawn by a
+hash of doc_id and text; the pattern counts, and with them the weak labels, cover all
 documents, and every document is scored whole.
 
 Null texts count as empty: no features, score 0, not kept.  Repeated rows are worked
@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weakspot.llm.common import fraction_of, read, with_names
+from weakspot.llm.common import draw_of, fraction_of, read, row_key, with_names
 
 BAD, ABSTAIN, GOOD = 0, 1, 2
 BUCKETS = 1 << 14
@@ -163,8 +163,12 @@ def train(docs: DataFrame, labels: dict[int, float], text: str = "text", doc_id:
         texts = [Text(v) for v in values]
         return pd.DataFrame({"pattern": [pattern(t) for t in texts], "buckets": [features(t) for t in texts]})
 
-    sample = docs if total <= train_rows else docs.filter(fraction_of(F.col(doc_id), train_rows / total))
-    frame = sample.select(looked_at(F.col(text)).alias("x")).select("x.*").toArrow().to_pandas()
+    key = row_key(F.col(doc_id), F.col(text))
+    sample = docs if total <= train_rows else docs.filter(fraction_of(key, train_rows / total))
+    rows = sample.select(draw_of(key).alias("draw"), looked_at(F.col(text)).alias("x")).select("draw", "x.*")
+    if total > train_rows:  # equal rows are drawn together, so that the share alone is no bound
+        rows = rows.orderBy("draw").limit(train_rows)
+    frame = rows.drop("draw").toArrow().to_pandas()
     if not len(frame):
         return np.zeros(BUCKETS + 1)
     return fit([np.asarray(b, dtype=np.int32) for b in frame["buckets"]], frame["pattern"].map(labels).to_numpy(dtype=float))
