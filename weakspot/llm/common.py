@@ -109,3 +109,21 @@ def pinned(df: DataFrame) -> DataFrame:
     """Cut lineage: computed once, kept in the shared folder, lost executors or not."""
     checkpoints(df.sparkSession)
     return df.checkpoint()
+
+
+def room_for(df: DataFrame, results: list[str]) -> DataFrame:
+    """Move columns that bear the name of a result column aside.
+
+    The rule of all operators: the result has its name, and a column of the table that
+    is called so stays under that name with as many underscores in front as it takes.
+    """
+    taken = {c.lower() for c in df.columns} | {r.lower() for r in results}
+    wanted, renamed = {r.lower() for r in results}, {}
+    for name in df.columns:
+        if name.lower() in wanted:
+            free = f"_{name}"
+            while free.lower() in taken:
+                free = f"_{free}"
+            taken.add(free.lower())
+            renamed[name] = free
+    return df.withColumnsRenamed(renamed)
