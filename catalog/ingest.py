@@ -6,7 +6,7 @@ from catalog import sqltext as s
 from catalog.registry import query, table
 from catalog.views import LOG_SQL, NUM, UID, log
 from weakspot import fixed_values as fixed
-from weakspot.schemas import DIAGNOSIS
+from weakspot.schemas import DIAGNOSIS, TASK
 from weakspot.sources import gate, jsonl
 from weakspot.sources import tasks as tk
 from weakspot.streaming import ingest
@@ -144,6 +144,58 @@ _TASK_LINE = """CASE event_id % 10 WHEN 0 THEN '{broken ' || event_type WHEN 1 T
   || CAST(event_id AS STRING) || '", "canonical_solution": "", "completion": "c", "test_code": "", "labels": {}, "accepted": false, "metrics": "{}", "extra": "{}"}' END"""
 
 
+# the odd events come later, with the lines of some events of the first batch again
+_BATCHES = f"""arrived AS (SELECT event_id % 2 AS batch, event_id, {_TASK_LINE} AS raw FROM events
+  UNION ALL SELECT 1, event_id, {_TASK_LINE} FROM events WHERE event_id % 2 = 0 AND event_id % 7 = 0)"""
+
+
+@query(f"""WITH {_BATCHES}, seen AS (SELECT batch, raw, event_id % 10 AS kind, event_id - CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END AS id FROM arrived),
+first AS (SELECT id, arg_min(raw, {{'b': batch, 'r': raw}}) AS taken, min(batch) AS since FROM seen WHERE kind > 1 GROUP BY id)
+SELECT batch, 'not JSON' AS outcome, raw AS line FROM seen WHERE kind = 0
+UNION ALL SELECT batch, 'missing ' || list_aggregate({fixed.TASK_KEYS[1:]}, 'string_agg', ', missing '), raw FROM seen WHERE kind = 1
+UNION ALL SELECT since, 'accepted', taken->>'$.content' FROM first
+UNION ALL SELECT s.batch, CASE WHEN since < s.batch THEN 'another row with this task_id came earlier' ELSE 'another row has this task_id' END, raw
+FROM seen s JOIN first USING (id) WHERE kind > 1 AND raw <> taken""")
+def stream_rows(spark, sf):
+    """Rows of two batches by what becomes of them, the second knowing the ids of the first."""
+    lines = [F.lit("events").alias("file"), F.expr(_TASK_LINE).alias("raw")]
+    arrived, known, told = table(spark, sf, "events"), None, []
+    again = arrived.filter("event_id % 2 = 0 AND event_id % 7 = 0")
+    for number in (0, 1):
+        batch = arrived.filter(f"event_id % 2 = {number}")
+        rows, bad = ingest.sorted_out((batch.union(again) if number else batch).select(*lines), known)
+        known = rows.select("task_id", ingest.content_digest(F.struct(*TASK.fieldNames())).alias("digest"))
+        told.append(rows.select(F.lit(number).alias("batch"), F.lit("accepted").alias("outcome"), F.col("content").alias("line")))
+        told.append(bad.select(F.lit(number).alias("batch"), F.col("problem").alias("outcome"), F.col("raw").alias("line")))
+    return tk.union_all(told).withColumn("batch", F.col("batch").cast("bigint"))
+
+
+# real-log lines of which some are cut off, no object, or have no or no usable id
+_POOR_LINE = f"""CASE event_id % 12 WHEN 0 THEN '{{"id": ' WHEN 1 THEN '[' || CAST(event_id AS STRING) || ']'
+  WHEN 2 THEN '{{"content": "x"}}' WHEN 3 THEN '{{"id": null}}' WHEN 4 THEN '{{"id": "seven"}}' WHEN 5 THEN '{{"id": "' || CAST(event_id AS STRING) || '"}}'
+  ELSE {REAL_LOG_LINE} END"""
+
+
+@query("""SELECT event_id, CASE event_id % 12 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'not an object' WHEN 2 THEN 'id is missing'
+  ELSE 'id is no whole number' END AS problem FROM events WHERE event_id % 12 < 5""")
+def real_log_rejects(spark, sf):
+    """Lines of a real log that are set aside, with the reason."""
+    raw = table(spark, sf, "events").selectExpr("event_id", f"{_POOR_LINE} AS raw")
+    return tk.with_log_problems(jsonl.with_problems(raw)).filter("problem IS NOT NULL").select("event_id", "problem")
+
+
+_LOG_LINE = """'{"task_id": ' || CASE event_id % 8 WHEN 0 THEN 'true' WHEN 1 THEN CAST(event_id AS STRING) || '.5' WHEN 2 THEN '"' || CAST(event_id AS STRING) || '"'
+  WHEN 3 THEN 'null' ELSE CAST(event_id AS STRING) END || CASE event_id % 16 WHEN 15 THEN '' ELSE '}' END"""
+
+
+@query("""SELECT event_id, CASE event_id % 16 WHEN 15 THEN 'not JSON' ELSE CASE WHEN event_id % 8 < 4 THEN 'task_id is no whole number' END END AS problem
+FROM events WHERE event_id % 8 < 4 OR event_id % 16 = 15""")
+def resume_log_rejects(spark, sf):
+    """Rows of a diagnosis log whose id can't be told."""
+    raw = table(spark, sf, "events").selectExpr("event_id", f"{_LOG_LINE} AS raw")
+    return jsonl.with_id_problems(jsonl.with_problems(raw)).filter("problem IS NOT NULL").select("event_id", "problem")
+
+
 @query("""WITH kind AS (SELECT CASE event_id % 10 WHEN 0 THEN 'not' WHEN 1 THEN 'missing' WHEN 3 THEN 'another' ELSE 'accepted' END AS outcome FROM events)
 SELECT outcome, count(*) AS n FROM kind GROUP BY ALL""")
 def stream_rejects(spark, sf):

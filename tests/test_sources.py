@@ -3,6 +3,7 @@ import json
 import pytest
 
 from weakspot import fixed_values as fixed
+from weakspot.operators.diagnose import unprocessed
 from weakspot.schemas import DIAGNOSIS, TASK
 from weakspot.sources import gate, jsonl, tasks
 from weakspot.sources.artifacts import RunStore, check_run_id
@@ -58,6 +59,31 @@ def test_real_log_rows(spark, tmp_path):
     assert row["labels"] == {"d": "1"} and json.loads(row["extra"]) == {"model": "m"}
 
 
+@pytest.mark.parametrize("bad, message", [
+    ("{broken", "not JSON"), ({k: v for k, v in REAL_ROW.items() if k != "id"}, "id is missing"), ({**REAL_ROW, "id": "x"}, "no whole number"),
+])
+def test_checks_stay_whatever_is_read(spark, tmp_path, bad, message):
+    table = tasks.load_real_log(spark, write(tmp_path / "r.jsonl", REAL_ROW, bad, {**REAL_ROW, "id": "8"}))
+    merged = tasks.load_merged(spark, write(tmp_path / "m.jsonl", TASK_ROW, "{broken"))
+    for read in (lambda df: df.count(), lambda df: df.select("task_id", "accepted").collect(), lambda df: df.select("labels").collect(),
+                 lambda df: df.filter("task_id = 7").count()):
+        with pytest.raises(Exception, match=message):
+            read(table)
+        with pytest.raises(Exception, match="not JSON"):
+            read(merged)
+
+
+def test_rows_of_a_log_name_their_task(spark, tmp_path):
+    rows = [{"task_id": 1, "fault_type": "surface"}, {"task_id": 2}]
+    assert jsonl.read_log(spark, write(tmp_path / "good.jsonl", *rows), DIAGNOSIS).count() == 2
+    for bad in ({"fault_type": "surface"}, {"task_id": True}, {"task_id": 1.5}, {"task_id": "3"}, {"task_id": None}):
+        with pytest.raises(Exception, match="task_id is"):
+            jsonl.read_log(spark, write(tmp_path / "bad.jsonl", *rows, bad), DIAGNOSIS).count()
+    table = spark.createDataFrame([(1,), (2,)], "task_id long")
+    with pytest.raises(Exception, match="Missing task_id"):
+        unprocessed(table, spark.createDataFrame([(1,), (None,)], "task_id long")).collect()
+
+
 def split_files(tmp_path, ids, result_ids):
     left = [{**{k: TASK_ROW[k] for k in fixed.INFERENCE_KEYS}, "task_id": i} for i in ids]
     right = [{**{k: TASK_ROW[k] for k in fixed.RESULT_KEYS}, "task_id": i, "accepted": i % 2 == 0} for i in result_ids]

@@ -121,8 +121,9 @@ def normalized(rows: DataFrame) -> DataFrame:
 
 
 def unprocessed(tasks: DataFrame, diagnoses: DataFrame) -> DataFrame:
-    """Tasks without a diagnosis yet."""
-    return tasks.join(diagnoses.select("task_id"), "task_id", "left_anti")
+    """Tasks without a diagnosis yet; a log row without an id is an error."""
+    nameless = F.raise_error(F.lit("Missing task_id in the diagnosis log")).cast("bigint")
+    return tasks.join(diagnoses.select(F.coalesce("task_id", nameless).alias("task_id")), "task_id", "left_anti")
 
 
 def with_taxonomy_error(diagnoses: DataFrame) -> DataFrame:

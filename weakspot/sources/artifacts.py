@@ -32,10 +32,14 @@ class RunStore:
     def write(self, df: DataFrame, name: str, mode: str = "overwrite") -> None:
         df.write.mode(mode).parquet(self.path(name))
 
+    def write_part(self, df: DataFrame, name: str, part: str) -> None:
+        """Add a named part to an artifact; a part of that name is replaced."""
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/part-of-{check_run_id(part)}")
+
     def read(self, name: str, schema: T.StructType) -> DataFrame | None:
-        """The artifact, or None when this run has not written it."""
+        """The artifact with all its parts, or None when this run has not written it."""
         try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
+            return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None

@@ -6,22 +6,28 @@ from pyspark.sql import types as T
 
 from weakspot import fixed_values as fixed
 from weakspot.functions.responses import field, kind
-from weakspot.functions.text import strip
+from weakspot.functions.text import pinned, strip
 
 
 def with_problems(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """Drop blank lines, parse the rest into ``row`` and say in ``problem`` what is wrong."""
-    row = F.try_parse_json(F.col(raw))
-    return (
-        lines.filter(strip(F.col(raw)) != "")
-        .withColumn("row", row)
-        .withColumn(
-            "problem",
-            F.when(F.col("row").isNull(), F.lit("not JSON")).when(
-                ~F.startswith(kind(F.col("row")), F.lit("OBJECT")), F.lit("not an object")
-            ),
-        )
+    written = lines.filter(strip(F.col(raw)) != "")
+    # parsed once, whatever checks and fields are read from it
+    return pinned(written, "row", F.try_parse_json(F.col(raw))).withColumn(
+        "problem",
+        F.when(F.col("row").isNull(), F.lit("not JSON")).when(
+            ~F.startswith(kind(F.col("row")), F.lit("OBJECT")), F.lit("not an object")
+        ),
+    )
+
+
+def with_id_problems(scanned: DataFrame, key: str = "task_id") -> DataFrame:
+    """Rows whose id is missing or no whole number have a problem, too."""
+    value = field(F.col("row"), key)
+    wrong = F.when(value.isNull(), F.lit(f"{key} is missing")).when(
+        ~F.startswith(kind(value), F.lit("BIGINT")), F.lit(f"{key} is no whole number")
     )
+    return scanned.withColumn("problem", F.coalesce("problem", wrong))
 
 
 def scan(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -46,18 +52,34 @@ def quarantined(scanned: DataFrame) -> DataFrame:
 
 
 def strict_rows(scanned: DataFrame) -> DataFrame:
-    """The scan with every bad line turned into an error when it is read."""
+    """The scan with every bad line turned into an error when it is read.
+
+    The checked line and its parsed row come out of a one-element generator: whatever
+    is selected, counted or filtered by their fields, the check is made first.
+    """
     message = F.concat(F.lit("bad row in "), F.col("file"), F.lit(": "), F.col("problem"), F.lit(": "), F.col("raw"))
-    checked = F.when(F.col("problem").isNull(), F.col("raw")).otherwise(F.raise_error(message).cast("string"))
-    return scanned.withColumn("raw", checked)
+    checked = F.when(F.col("problem").isNull(), F.struct("raw", "row")).otherwise(
+        F.raise_error(message).cast("struct<raw: string, row: variant>")
+    )
+    others = [c for c in scanned.columns if c not in ("raw", "row")]
+    return scanned.select(*others, F.inline(F.array(checked)))
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Strict typed read."""
-    rows = strict_rows(scan(spark, path))
+    return typed(strict_rows(scan(spark, path)), schema)
+
+
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of JSON text as columns."""
     return rows.select(F.from_json("raw", schema).alias("r")).select("r.*")
 
 
+def read_log(spark: SparkSession, path: str, schema: T.StructType, key: str = "task_id") -> DataFrame:
+    """Strict typed read of a log in which every row names its task."""
+    return typed(strict_rows(with_id_problems(scan(spark, path), key)), schema)
+
+
 def is_zero(value: Column) -> Column:
     """Numeric zero, also as a float or ``false``; text and null are not."""
     return F.coalesce(

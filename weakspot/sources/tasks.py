@@ -77,22 +77,18 @@ def load(spark: SparkSession, paths: list[str]) -> DataFrame:
     return load_split(spark, *paths)
 
 
-def _exact_keys(rows: DataFrame, keys: list[str], optional: tuple = ()) -> DataFrame:
-    """Fail on rows with unknown or missing keys."""
+def with_key_problems(scanned: DataFrame, keys: list[str], optional: tuple = ()) -> DataFrame:
+    """Rows with unknown or missing keys have a problem, too."""
     found = F.json_object_keys("raw")
     allowed = F.array(*map(F.lit, [*keys, *optional]))
     needed = F.array(*map(F.lit, keys))
     wrong = F.concat(F.array_except(found, allowed), F.array_except(needed, found))
-    message = F.concat(F.lit("unknown or missing key: "), first(wrong))
-    return rows.withColumn(
-        "raw",
-        F.when(F.size(wrong) == 0, F.col("raw")).otherwise(F.raise_error(message).cast("string")),
-    )
+    named = F.when(F.size(wrong) > 0, F.concat(F.lit("unknown or missing key: "), first(wrong)))
+    return scanned.withColumn("problem", F.coalesce("problem", named))
 
 
 def load_merged(spark: SparkSession, path: str) -> DataFrame:
-    rows = _exact_keys(jsonl.strict_rows(jsonl.scan(spark, path)), fixed.TASK_KEYS)
-    return rows.select(F.from_json("raw", TASK).alias("r")).select("r.*")
+    return jsonl.typed(jsonl.strict_rows(with_key_problems(jsonl.scan(spark, path), fixed.TASK_KEYS)), TASK)
 
 
 def spaced_json(text: Column) -> Column:
@@ -150,8 +146,17 @@ def real_log_tasks(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_log_problems(scanned: DataFrame) -> DataFrame:
+    """Real-log rows without an id that reads as a whole number have a problem, too."""
+    value = field(F.col("row"), "id")
+    wrong = F.when(value.isNull(), F.lit("id is missing")).when(
+        F.try_variant_get(value, "$", "bigint").isNull(), F.lit("id is no whole number")
+    )
+    return scanned.withColumn("problem", F.coalesce("problem", wrong))
+
+
 def load_real_log(spark: SparkSession, path: str) -> DataFrame:
-    return real_log_tasks(jsonl.strict_rows(jsonl.scan(spark, path)))
+    return real_log_tasks(jsonl.strict_rows(with_log_problems(jsonl.scan(spark, path))))
 
 
 def split_issues(inference: DataFrame, results: DataFrame, key: str = "task_id") -> DataFrame:
@@ -201,9 +206,9 @@ def load_split(spark: SparkSession, first_path: str, second_path: str) -> DataFr
     fields = {f.name: f for f in TASK.fields}
     sides = []
     for path, keys in zip(paths, [fixed.INFERENCE_KEYS, fixed.RESULT_KEYS]):
-        rows = _exact_keys(jsonl.strict_rows(jsonl.scan(spark, path)), keys)
+        rows = jsonl.strict_rows(with_key_problems(jsonl.scan(spark, path), keys))
         schema = type(TASK)([fields[k] for k in keys])
-        sides.append(rows.select(F.from_json("raw", schema).alias("r")).select("r.*"))
+        sides.append(jsonl.typed(rows, schema))
     check_split(*sides)
     return join_results(*sides).select(*TASK.fieldNames())
 
