@@ -9,6 +9,7 @@ from weakspot import fixed_values as fixed
 from weakspot.functions import tags as tg
 from weakspot.functions.text import first
 from weakspot.operators import clusters as cl
+from weakspot.operators import collective as co
 from weakspot.operators import diagnose as dg
 from weakspot.operators import merges as mg
 from weakspot.operators import report as rp
@@ -95,6 +96,20 @@ def sibling_clusters(spark, sf):
     )
 
 
+@query(f"""WITH {s.CLUSTERED} SELECT fault_type, tag, frequency, frequency AS rows_seen, CAST(ceil(frequency / 200) AS BIGINT) AS most_chunks FROM clusters""")
+def group_payload_coverage(spark, sf):
+    """Rows that the payloads of each cluster hold between them: all, once each."""
+    rows = repaired(dg.failures(diagnoses(spark, sf)))
+    groups = cl.clusters(cl.named(partials(spark, sf)))
+    told = co.payloads(groups, rows, None).select(
+        "fault_type", "tag", F.get_json_object("payload", "$.frequency").cast("bigint").alias("frequency"),
+        F.size(F.from_json(F.get_json_object("payload", "$.diagnoses"), "array<struct<task_id: bigint>>")).alias("rows"),
+    )
+    return told.groupBy("fault_type", "tag", "frequency").agg(
+        F.sum("rows").alias("rows_seen"), F.ceil(F.first("frequency") / co.CHUNK_ROWS).alias("most_chunks")
+    )
+
+
 @query(f"""WITH {s.CLUSTERED} SELECT fault_type, tag,
   row_number() OVER (ORDER BY min_task_id, fault_type, tag) AS place FROM clusters""")
 def cluster_order(spark, sf):

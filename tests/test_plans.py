@@ -8,11 +8,11 @@ from weakspot.operators import collective as co
 from weakspot.operators import diversity as dv
 from weakspot.operators import merges as mg
 from weakspot.operators.diagnose import analyzer_payload
-from weakspot.operators.repair import ladder, repaired
+from weakspot.operators.repair import batch_rediagnoser, ladder, repaired
 from weakspot.operators.summary import cost_estimate
 from weakspot.plans.aggregate import aggregate
 from weakspot.plans.diagnose import diagnose
-from weakspot.plans.run import plan_stages, run, same_model
+from weakspot.plans.run import Hooks, plan_stages, run, same_model
 from weakspot.plans.synthesize import Settings, synthesize
 from weakspot.schemas import DIAGNOSIS, EVENT_LOG, SPEC, TASK
 from weakspot.sources.artifacts import RunStore
@@ -312,7 +312,95 @@ def test_analyzers_see_every_diagnosis_of_a_cluster(spark, monkeypatch):
         [("implementation", "logic_error", 60, [0], 0), ("implementation", "off_by_one", 1, [100], 100)],
         "fault_type string, tag string, frequency long, sample_task_ids array<long>, min_task_id long",
     ).withColumns({"statuses": F.array(F.lit("passed")), "levels": F.array(F.lit("self_check"))})
-    got = {r["tag"]: r for r in co.analyzed(groups, rows, None, analyze).collect()}
-    assert sorted(got["logic_error"]["narrative"]["misdiagnosed_ids"]) == list(range(60))
+    found = co.analyzed(groups, rows, None, analyze)
+    got = {r["tag"]: r for r in found.clusters.collect()}
+    assert sorted((r["tag"], r["task_id"]) for r in found.details.collect()) == [("logic_error", i) for i in range(60)]
     assert got["logic_error"]["rows_seen"] == 60 and got["logic_error"]["problem"] is None
     assert got["off_by_one"]["problem"] == "not answered" and got["off_by_one"]["narrative"]["refined_root_cause"]
+
+
+def test_answers_of_many_chunks_merge_by_partial_aggregates(spark):
+    n = 10_000
+    answered = spark.range(n).select(
+        F.lit("modeling").alias("fault_type"), F.lit("loop").alias("tag"), F.col("id").cast("int").alias("chunk"), F.lit(2).cast("bigint").alias("rows_seen"),
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("bad "), F.col("id").cast("string"))).alias("problem"),
+        F.when(F.col("id") % 5 != 0, F.struct(
+            F.concat(F.lit("why "), F.col("id").cast("string")).alias("refined_root_cause"), F.lit("c").alias("capability_cliff"),
+            F.array(F.col("id"), F.lit(7).cast("bigint")).alias("misdiagnosed_ids"),
+            F.create_map(F.lit("7"), F.concat(F.lit("to "), F.col("id").cast("string"))).alias("misdiagnosis_corrections"),
+            F.when(F.col("id") % 2 == 0, 0.25).otherwise(0.75).alias("cluster_coherence"),
+            F.array(F.struct(F.lit("a").alias("source_tag"), (F.col("id") % 3).cast("string").alias("target_tag"), F.lit(True).alias("confirmed"))).alias("semantic_merges"),
+        )).alias("clean"),
+    )
+    joined = co.joined_answers(answered)
+    assert "collect" not in joined._jdf.queryExecution().toString()
+    row = joined.first()
+    assert row["rows_seen"] == 2 * n and row["problem"] == "bad 0"
+    assert row["answer"]["refined_root_cause"] == "why 1" and row["answer"]["cluster_coherence"] == pytest.approx(0.5)
+    details = co.told_details(answered)
+    assert details.filter("task_id IS NOT NULL").count() == n * 4 // 5
+    assert [tuple(r) for r in details.filter("about IS NOT NULL").collect()] == [("modeling", "loop", None, "7", "to 1")]
+    groups = spark.createDataFrame([("modeling", "loop", 1)], "fault_type string, tag string, min_task_id long")
+    merges = {r["target_tag"]: r["position"] for r in co.told_proposals(answered, groups).collect()}
+    assert merges == {"1": 2**31, "2": 2 * 2**31, "0": 3 * 2**31}
+
+
+def verifier(answers):
+    """A batch verifier that remembers nothing and answers by task; a list is several answers."""
+    def check(batches):
+        for pdf in batches:
+            told = [(t, s) for t in pdf["task_id"] for s in (answers[t] if isinstance(answers.get(t), list) else [answers.get(t, "left out")])]
+            yield pd.DataFrame([x for x in told if x[1] != "left out"], columns=["task_id", "status"])
+    return check
+
+
+def test_batch_verifiers_in_a_ladder(spark):
+    rows = diagnoses(spark, [{"task_id": i, "confidence": 0.9} for i in range(1, 9)])
+    first = verifier({1: "passed", 2: "failed", 3: None, 4: ["passed", "failed"], 5: "great", 6: ["passed", "passed"], 7: [None, "failed"], 99: "passed"})
+    second = verifier({1: "failed", 3: "failed", 4: "passed"})
+    events = []
+    found = repaired(rows, "exec_api", verifiers={"exec_api": first, "cross_model": second}, on_events=lambda e: events.extend(e.collect()))
+    got = {r["task_id"]: (r["enriched_labels"]["verification_level"], r["enriched_labels"]["verification_status"], r["confidence"]) for r in found.collect()}
+    assert got == {
+        1: ("exec_api", "passed", 0.9), 2: ("exec_api", "unverified", 0.5), 3: ("cross_model", "unverified", 0.5), 4: ("cross_model", "passed", 0.9),
+        5: ("self_check", "passed", 0.9), 6: ("exec_api", "passed", 0.9), 7: ("exec_api", "unverified", 0.5), 8: ("self_check", "passed", 0.9)}
+    assert {(r["task_id"], r["message"]) for r in events} == {(4, "exec_api: answered in several ways"), (5, "exec_api: no such status: great")}
+    with pytest.raises(Exception, match="No verification path"):
+        repaired(rows, "self_check", verifiers={"self_check": verifier({})}).collect()
+
+
+def test_batch_rediagnoser_is_gated(spark):
+    rows = diagnoses(spark, [{"task_id": i} for i in range(1, 5)])
+
+    def again(batches):
+        for pdf in batches:
+            out = [r for r in pdf.to_dict("records") if r["task_id"] != 4]  # one left out
+            for r in out:
+                r["description"], r["severity"] = "again", "awful" if r["task_id"] == 3 else "high"
+            yield pd.DataFrame(out, columns=DIAGNOSIS.fieldNames())
+
+    events = []
+    check = F.when(F.col("description") == "again", "passed").otherwise("failed")
+    found = repaired(rows, verifiers={"self_check": check}, rediagnose=batch_rediagnoser(again, lambda e: events.extend(e.collect())))
+    assert {r["task_id"]: (r["severity"], r["enriched_labels"]["verification_status"]) for r in found.collect()} == {
+        1: ("high", "passed"), 2: ("high", "passed"), 3: ("low", "unverified"), 4: ("low", "unverified")}
+    assert {(r["task_id"], r["message"]) for r in events} == {(3, "invalid: severity"), (4, "not answered")}
+
+
+def test_a_run_calls_hooks_and_logs_what_they_answer_badly(spark, tmp_path):
+    def deep(batches):
+        for pdf in batches:
+            yield pd.DataFrame([], columns=DIAGNOSIS.fieldNames())  # answers nothing
+
+    def collective(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"cluster_key": pdf["cluster_key"], "answer": "nothing"})
+
+    hooks = Hooks(deep=deep, collective=collective, verifiers={"cross_model": verifier({i: "odd" for i in range(10)})})
+    row = run(spark, tasks(spark, [{"task_id": 1, "completion": "AssertionError in go_on"}, {"task_id": 2, "completion": "fine"}]), str(tmp_path), "r",
+              settings=Settings(top_n=1), hooks=hooks, prompt_versions={"diagnose": "v2"}).first()
+    assert row["prompt_versions"] == {"diagnose": "v2"} and row["stages_executed"] == ["diagnose", "aggregate", "synthesize"]
+    log = RunStore(spark, str(tmp_path), "r").read("events", EVENT_LOG).collect()
+    kinds = {(r["stage"], r["error_type"]) for r in log}
+    assert kinds >= {("diagnose", "analyzer_answer_rejected"), ("aggregate", "collective_parse_failure"), ("aggregate", "verifier_answer_rejected")}
+    assert all(r["cluster"]["task_ids"] for r in log if r["stage"] != "synthesize")

@@ -7,12 +7,14 @@ clusters deal out over several payloads.
 """
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
 from weakspot.functions.responses import clean_collective, collective_gap, parsed
+from weakspot.functions.tags import report_tag
 from weakspot.functions.text import first
 from weakspot.operators.clusters import KEY, mapped_tag, narrative, with_siblings
 from weakspot.schemas import EVIDENCE
@@ -69,44 +71,68 @@ def _ask(questions: DataFrame, analyze: Callable) -> DataFrame:
     )
 
 
+class Analysis(NamedTuple):
+    """What analyzers said: one row per cluster, and everything listed as rows of its own.
+
+    ``clusters`` carry the narrative (without lists), ``rows_seen`` and the first
+    ``problem``; ``proposals`` are merges with their position; ``details`` hold ids told
+    to be misdiagnosed (``task_id``) and corrections (``about``, ``correction``).
+    """
+
+    clusters: DataFrame
+    proposals: DataFrame
+    details: DataFrame
+
+
 def joined_answers(answered: DataFrame) -> DataFrame:
-    """One answer per cluster from those to its chunks.
+    """One answer per cluster from those to its chunks, by mergeable aggregates.
 
     Texts are those of the first chunk with a usable answer, coherence is the mean by
-    rows, ids are united, corrections of earlier chunks win, merges keep their order
-    without repeats.  ``problem`` is that of the first chunk that has one.
+    rows, ``problem`` is that of the first chunk that has one.  However many chunks a
+    cluster has, each task sends one row of it.
     """
     usable = F.col("problem").isNull()
-    chunk = F.when(usable, F.struct("chunk", "rows_seen", "clean"))
+    seen = F.when(usable, F.col("rows_seen"))
     gathered = answered.groupBy(*KEY).agg(
-        F.array_sort(F.collect_list(F.struct("chunk", "problem"))).alias("problems"),
-        F.collect_list(chunk).alias("told"), F.sum("rows_seen").alias("rows_seen"),
-    )
-    told = F.array_sort("told", lambda a, b: a["chunk"] - b["chunk"])
-    parts = gathered.withColumn("told", told)
-    rows = F.aggregate("told", F.lit(0).cast("bigint"), lambda n, c: n + c["rows_seen"])
-    weighed = F.aggregate("told", F.lit(0.0), lambda n, c: n + c["rows_seen"] * c["clean"]["cluster_coherence"])
-    corrections = F.aggregate(
-        F.flatten(F.transform("told", lambda c: F.map_entries(c["clean"]["misdiagnosis_corrections"]))),
-        F.create_map().cast("map<string,string>"),
-        lambda m, e: F.when(F.map_contains_key(m, e["key"]), m).otherwise(F.map_concat(m, F.map_from_entries(F.array(e)))),
-    )
-    head = F.col("told")[0]["clean"]
+        F.min_by(F.struct("clean.refined_root_cause", "clean.capability_cliff"), F.when(usable, F.col("chunk"))).alias("texts"),
+        F.sum(seen * F.col("clean.cluster_coherence")).alias("weighed"), F.sum(seen).alias("told"),
+        F.min_by("problem", F.when(~usable, F.col("chunk"))).alias("problem"), F.sum("rows_seen").alias("rows_seen"),
+    )
     narrative_of = F.struct(
-        head["refined_root_cause"].alias("refined_root_cause"), head["capability_cliff"].alias("capability_cliff"),
-        F.array_distinct(F.flatten(F.transform("told", lambda c: c["clean"]["misdiagnosed_ids"]))).alias("misdiagnosed_ids"),
-        corrections.alias("misdiagnosis_corrections"), (weighed / rows).alias("cluster_coherence"),
+        F.col("texts.refined_root_cause").alias("refined_root_cause"), F.col("texts.capability_cliff").alias("capability_cliff"),
+        F.array().cast("array<bigint>").alias("misdiagnosed_ids"), F.create_map().cast("map<string,string>").alias("misdiagnosis_corrections"),
+        (F.col("weighed") / F.col("told")).alias("cluster_coherence"),
     )
-    merges = F.array_distinct(F.flatten(F.transform("told", lambda c: c["clean"]["semantic_merges"])))
-    some = F.size("told") > 0
-    return parts.select(
-        *KEY, F.when(some, narrative_of).alias("answer"), F.when(some, merges).alias("merges"), "rows_seen",
-        F.array_compact(F.transform("problems", lambda p: p["problem"])).alias("problems"),
-    ).withColumn("problem", first(F.col("problems"))).drop("problems")
+    return gathered.select(*KEY, F.when(F.col("told") > 0, narrative_of).alias("answer"), "rows_seen", "problem")
 
 
-def analyzed(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None, analyze: Callable) -> DataFrame:
-    """Clusters with the narrative and merges of their analysis.
+def told_details(answered: DataFrame) -> DataFrame:
+    """Distinct misdiagnosed ids and corrections of each cluster, as rows; the earliest chunk's correction counts."""
+    usable = answered.filter("problem IS NULL")
+    none = F.lit(None).cast("string")
+    ids = usable.select(*KEY, F.explode("clean.misdiagnosed_ids").alias("task_id")).distinct().select(
+        *KEY, "task_id", none.alias("about"), none.alias("correction")
+    )
+    corrections = (
+        usable.select(*KEY, "chunk", F.explode("clean.misdiagnosis_corrections").alias("about", "text"))
+        .groupBy(*KEY, "about").agg(F.min_by("text", "chunk").alias("correction"))
+        .select(*KEY, F.lit(None).cast("bigint").alias("task_id"), "about", "correction")
+    )
+    return ids.unionByName(corrections)
+
+
+def told_proposals(answered: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One row per distinct merge that an analysis proposes, with its cluster and first position."""
+    listed = answered.filter("problem IS NULL").select(*KEY, "chunk", F.posexplode("clean.semantic_merges").alias("at", "m"))
+    place = F.col("chunk").cast("bigint") * 2**31 + F.col("at")
+    told = listed.groupBy(*KEY, "m").agg(F.min(place).alias("position"))
+    return told.join(clusters.select(*KEY, "min_task_id"), KEY).select(
+        *KEY, "min_task_id", "position", "m.source_tag", "m.target_tag", "m.confirmed"
+    )
+
+
+def analyzed(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None, analyze: Callable) -> Analysis:
+    """Clusters with the narrative of their analysis, and its lists.
 
     An analyzer is asked once per chunk, and once for equal payloads.  A missing,
     ambiguous or bad answer is asked for once more; a second such one is kept in
@@ -120,19 +146,31 @@ def analyzed(clusters: DataFrame, rows: DataFrame, tag_map: DataFrame | None, an
     bad = once.filter("problem IS NOT NULL").select("cluster_key")
     twice = _ask(questions.join(bad, "cluster_key", "left_semi"), analyze)
     answers = once.filter("problem IS NULL").unionByName(twice).select("cluster_key", "clean", "problem")
-    found = joined_answers(asked.drop("payload").join(answers, "cluster_key", "left"))
-    return (
-        clusters.join(found, KEY, "left")
+    answered = asked.drop("payload").join(answers, "cluster_key", "left")
+    told = (
+        clusters.join(joined_answers(answered), KEY, "left")
         .withColumn("narrative", F.coalesce("answer", narrative(fixed.MERGED_CLIFF_FORMAT)))
         .drop("answer")
     )
+    return Analysis(told, told_proposals(answered, clusters), told_details(answered))
+
 
+def with_lists(narratives: DataFrame, analysis: Analysis) -> DataFrame:
+    """Narratives by canonical key with the lists of the group that told them.
 
-def proposals_of(analyzed_clusters: DataFrame) -> DataFrame:
-    """One row per proposed merge, with its cluster and position."""
-    return analyzed_clusters.select(
-        *KEY, "min_task_id", F.posexplode("merges").alias("position", "m")
-    ).select(*KEY, "min_task_id", "position", "m.source_tag", "m.target_tag", "m.confirmed")
+    This is where lists become fields: the report has at most 35 narratives.
+    """
+    told_by = analysis.clusters.withColumn("canonical", report_tag(F.col("tag"))).groupBy("fault_type", "canonical").agg(
+        F.max_by("tag", "min_task_id").alias("tag")
+    )
+    pair = F.when(F.col("about").isNotNull(), F.struct("about", "correction"))
+    lists = analysis.details.join(told_by, KEY).groupBy("fault_type", F.col("canonical").alias("tag")).agg(
+        F.array_sort(F.collect_list("task_id")).alias("_ids"), F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("_pairs"),
+    )
+    told = F.col("narrative").withField("misdiagnosed_ids", F.coalesce("_ids", F.col("narrative.misdiagnosed_ids"))).withField(
+        "misdiagnosis_corrections", F.coalesce("_pairs", F.col("narrative.misdiagnosis_corrections"))
+    )
+    return narratives.join(lists, KEY, "left").withColumn("narrative", told).drop("_ids", "_pairs")
 
 
 def failure_events(analyzed_clusters: DataFrame) -> DataFrame:

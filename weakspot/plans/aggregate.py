@@ -10,7 +10,7 @@ from weakspot import fixed_values as fixed
 from weakspot.functions.tags import report_tag
 from weakspot.operators import clusters as cl
 from weakspot.operators import merges, report
-from weakspot.operators.collective import analyzed, proposals_of
+from weakspot.operators.collective import analyzed, failure_events, with_lists
 from weakspot.operators.diagnose import failures
 from weakspot.operators.repair import repaired
 from weakspot.sources.artifacts import written
@@ -36,6 +36,7 @@ def aggregate(
     collective: Callable | None = None,
     causal: Callable | None = None,
     on_events: Callable[[DataFrame], None] | None = None,
+    on_log: Callable[[DataFrame], None] | None = None,
 ) -> Report:
     """Weakness report of the failures among ``diagnoses``.
 
@@ -45,9 +46,10 @@ def aggregate(
     those small tables.
 
     ``collective`` and ``causal`` are analyzers (see ``operators.collective``);
-    ``on_events`` receives the log of answers that had to be replaced.
+    ``on_events`` receives the clusters whose answers had to be replaced, ``on_log`` the log
+    rows of these and of unusable answers of verifiers.
     """
-    rows = repaired(failures(diagnoses), level, reachable, verifiers, rediagnose)
+    rows = repaired(failures(diagnoses), level, reachable, verifiers, rediagnose, on_log)
     narrow = written(cl.keyed(rows), "keyed")
     parts = cl.Partials(*[written(part, "partials") for part in cl.partials(narrow)])
     groups = cl.named(parts)
@@ -59,14 +61,19 @@ def aggregate(
         merged = cl.clusters(groups).withColumn("narrative", cl.narrative(fixed.MERGED_CLIFF_FORMAT))
     else:
         first_look = analyzed(cl.clusters(groups), rows, None, collective)
-        edges = merges.accepted_edges(proposals_of(first_look))
+        edges = merges.accepted_edges(first_look.proposals)
         resolved = merges.closure(edges, own_tags)
         regrouped = cl.clusters(cl.regrouped(cl.remapped(groups, resolved), F.col("tag")))
-        merged = analyzed(regrouped, rows, resolved, collective)
+        looked = analyzed(regrouped, rows, resolved, collective)
+        merged = looked.clusters
         if on_events is not None:
             on_events(merged.filter("problem IS NOT NULL"))
+        if on_log is not None:
+            on_log(failure_events(merged))
 
     narratives = cl.narratives_by_key(merged)
+    if collective is not None:
+        narratives = with_lists(narratives, looked)
     final = cl.clusters(cl.final(parts, None if edges is None else resolved))
     # at most 35 rows, read by every later step
     rows = written(report.weaknesses(final, narratives), "weaknesses")

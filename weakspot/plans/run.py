@@ -17,7 +17,7 @@ from weakspot.plans.aggregate import Report, aggregate
 from weakspot.plans.diagnose import new_diagnoses
 from weakspot.plans.synthesize import Settings, Synthesis, synthesize
 from weakspot.schemas import DIAGNOSIS, EVENT_LOG, SPEC
-from weakspot.sources.artifacts import RunStore
+from weakspot.sources.artifacts import RunStore, written
 from weakspot.sources.tasks import check_unique
 
 
@@ -46,6 +46,26 @@ def plan_stages(
     return Stages(diagnose, again, again or at == 2 or empty)
 
 
+class Hooks(NamedTuple):
+    """User functions that a run calls; what they answer badly goes to the run's log.
+
+    ``confirm``, ``deep``: see `plans.diagnose`; ``level``, ``reachable``, ``verifiers``,
+    ``rediagnose``, ``collective``, ``causal``: see `plans.aggregate`; ``generate``,
+    ``check``: see `plans.synthesize`.
+    """
+
+    confirm: Callable | None = None
+    deep: Callable | None = None
+    level: str = "auto"
+    reachable: bool = False
+    verifiers: dict | None = None
+    rediagnose: Callable | None = None
+    collective: Callable | None = None
+    causal: Callable | None = None
+    generate: Callable | None = None
+    check: Callable | None = None
+
+
 def same_model(analysis_model: str, evaluated_model: str) -> bool:
     """The analysed model analyses itself."""
     return bool(analysis_model) and analysis_model == evaluated_model
@@ -69,14 +89,23 @@ def run(
     analysis_model: str = "",
     evaluated_model: str = "",
     input_files: tuple = (),
+    hooks: Hooks = Hooks(),
+    prompt_versions: dict[str, str] | None = None,
 ) -> DataFrame:
     """Run the missing stages and return the run's metadata row.
 
+    ``hooks`` are called by the stages of this package; a whole stage can be replaced by
+    a function of its own.
+
     Every stage reads the written artifact of the one before it, so a run can
     be taken up again after any of them.
     """
     started = time.monotonic()
     store = RunStore(spark, root, run_id)
+
+    def log(events: DataFrame) -> None:
+        store.write(_events(events), "events", "append")
+
     check_unique(tasks)
     inputs = tasks.count()
     executed = []
@@ -90,14 +119,16 @@ def run(
     if stages.diagnose:
         done = store.read("diagnoses", DIAGNOSIS)
         todo = tasks if done is None else unprocessed(tasks, done)
-        new = diagnose_stage(todo) if diagnose_stage else new_diagnoses(todo, rules)
+        new = diagnose_stage(todo) if diagnose_stage else new_diagnoses(todo, rules, hooks.confirm, hooks.deep, log)
         store.write(new.select(*DIAGNOSIS.fieldNames()), "diagnoses", "append")
         executed.append("diagnose")
     diagnoses = store.read_or_empty("diagnoses", DIAGNOSIS)
 
     if stages.aggregate:
         rows = normalized(diagnoses) if stages.diagnose else diagnoses
-        report = (aggregate_stage or aggregate)(rows)
+        report = aggregate_stage(rows) if aggregate_stage else aggregate(
+            rows, hooks.level, hooks.reachable, hooks.verifiers, hooks.rediagnose, hooks.collective, hooks.causal, on_log=log
+        )
         store.write_report(report.document())
         executed.append("aggregate")
     document = store.read_report()
@@ -108,11 +139,11 @@ def run(
     if stages.synthesize:
         prior = store.read("specs", SPEC)
         if prior is not None:
-            # the artifact is rewritten below, so its rows are kept on the driver:
-            # a run holds at most top_n times max_per_weakness specs
-            prior = spark.createDataFrame(prior.collect(), SPEC)
-        made = (synthesize_stage or (lambda r, d, p: synthesize(r, d, p, settings)))(report, diagnoses, prior)
-        store.write(_events(made.events), "events", "append")
+            prior = written(prior, "prior")  # the artifact is rewritten below
+        made = synthesize_stage(report, diagnoses, prior) if synthesize_stage else synthesize(
+            report, diagnoses, prior, settings, hooks.generate, hooks.check
+        )
+        log(made.events)
         store.write(made.specs, "specs")
         executed.append("synthesize")
     specs = store.read_or_empty("specs", SPEC)
@@ -128,6 +159,7 @@ def run(
         F.current_timestamp().alias("timestamp"),
         F.lit(json.dumps(settings._asdict())).alias("config_snapshot"),
         F.lit(analysis_model or "unknown").alias("analysis_model"),
+        F.from_json(F.lit(json.dumps(prompt_versions or {})), "map<string,string>").alias("prompt_versions"),
         F.array(*map(F.lit, input_files)).cast("array<string>").alias("input_files"),
         F.lit(inputs).cast("bigint").alias("input_count"),
         F.array(*map(F.lit, executed)).cast("array<string>").alias("stages_executed"),
@@ -139,7 +171,13 @@ def run(
 
 
 def _events(events: DataFrame) -> DataFrame:
-    """Events in the shape of the log, missing columns null."""
+    """Events in the shape of the log, missing columns null; an event about one task has it in its cluster."""
+    if "task_id" in events.columns and "cluster" not in events.columns:
+        about = F.struct(
+            F.lit(None).cast("string").alias("fault_type"), F.lit(None).cast("array<string>").alias("sub_tags"),
+            F.array("task_id").alias("task_ids"),
+        )
+        events = events.withColumn("cluster", about)
     columns = [
         (F.col(f.name) if f.name in events.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in EVENT_LOG.fields
