@@ -1,4 +1,6 @@
-from collections import defaultdict
+import hashlib
+import math
+from collections import Counter, defaultdict
 
 from weakspot.llm import line_dedup as L
 
@@ -9,22 +11,37 @@ def masked(line):
 
 def brute(docs, depth, min_docs, similarity):
     """Kept texts, by plain loops over the whole table."""
-    each = [(doc, sorted({s.strip(" ") for s in (text or "").split("\n")} - {""})) for doc, text in docs]
-    leaf = lambda s: (len(s.split(" ")), masked(" ".join(s.split(" ")[:depth])))
-    in_leaf = defaultdict(list)
-    for doc, lines in each:
-        for line in lines:
-            in_leaf[leaf(line)].append((doc, line))
-    template, seen = {}, defaultdict(list)
-    for key, members in in_leaf.items():
-        if len(members) < min_docs:
-            continue
-        columns = list(zip(*[line.split(" ") for _, line in members]))
-        common = [min(set(c), key=lambda t: (-c.count(t), t.encode())) for c in columns]
-        for doc, line in members:
-            equal = sum(a == b for a, b in zip(line.split(" "), common))
-            template[line] = (key,) if equal >= similarity * len(common) else (key, masked(line))
-            seen[template[line]].append(doc)
+    digest = lambda form: hashlib.md5(form.encode()).hexdigest()
+    each = [((doc, text), sorted({masked(s) for s in {s.strip(" ") for s in (text or "").split("\n")} - {""}})) for doc, text in docs]
+    seen, times = defaultdict(lambda: defaultdict(set)), Counter()
+    for key, (doc, text) in zip(each, docs):
+        distinct = {s.strip(" ") for s in (text or "").split("\n")} - {""}
+        times.update(masked(s) for s in distinct)
+        for form in key[1]:
+            tokens = form.split(" ")
+            seen[len(tokens), " ".join(tokens[:depth])][form].add((doc, text))
+    chosen, placed = {}, defaultdict(set)
+    for leaf, forms in seen.items():
+        n = leaf[0]
+        parts = math.floor(n * (1 - similarity) + 1e-9) + 1
+        groups = defaultdict(list)
+        for form in forms:
+            tokens = form.split(" ")
+            for i in range(parts):
+                groups[i, tuple(tokens[i * n // parts : (i + 1) * n // parts])].append(form)
+        member = defaultdict(set)
+        for group in groups.values():
+            if sum(times[f] for f in group) >= min_docs:
+                template = min(group, key=lambda f: (-times[f], digest(f)))
+                for form in group:
+                    if sum(a == b for a, b in zip(form.split(" "), template.split(" "))) >= similarity * n:
+                        member[template].add(form)
+        size = {t: len(set().union(*(forms[f] for f in own))) for t, own in member.items()}
+        for form in forms:
+            best = min((t for t, own in member.items() if form in own and size[t] >= min_docs), key=lambda t: (-size[t], digest(t)), default=None)
+            if best is not None:
+                chosen[form] = best
+                placed[best] |= {doc for doc, _ in forms[form]}
     out = []
     for doc, text in docs:
         if text is None:
@@ -32,14 +49,36 @@ def brute(docs, depth, min_docs, similarity):
             continue
         keep = []
         for line in text.split("\n"):
-            docs_of = seen.get(template.get(line.strip(" ")), [])
-            first = None if None in docs_of else min(docs_of, default=None)
-            if len(docs_of) < min_docs or doc == first:
+            owners = placed.get(chosen.get(masked(line.strip(" "))), set())
+            first = None if None in owners else min(owners, default=None)
+            if not owners or doc == first:
                 keep.append(line)
         out.append((doc, "\n".join(keep)))
     return out
 
 
+def cut(df):
+    return {r.doc_id: r.text for r in L.without_recurring_lines(df).collect()}
+
+
+def test_documents_count_and_not_occurrences(table):
+    line = "the night train to {} leaves from platform two as ever".format
+    docs = [(1, f"{line('york')}\n{line('leeds')}"), (2, line("york")), (2, line("york"))]
+    assert cut(table(docs)) == dict(docs)
+    more = cut(table([*docs, (3, line("bath"))]))
+    assert more == {1: docs[0][1], 2: "", 3: ""}
+
+
+def test_a_leaf_holds_several_templates(table):
+    one = "we would like to thank {} for the help with this page".format
+    two = "we would like to hear what readers of {} have to say".format
+    names = "ann bea cid dan eva fox gus".split()
+    docs = [(i, one(n)) for i, n in enumerate(names[:6])] + [(10 + i, two(n)) for i, n in enumerate(names[:5])] + [(30, "we would like to go home now if that is all right")]
+    assert len({(len(t.split()), tuple(t.split()[:4])) for _, t in docs}) == 1
+    kept = {d for d, t in cut(table(docs)).items() if t}
+    assert kept == {0, 10, 30}
+
+
 def test_matches_brute_force(table, prose):
     shared = prose(1, 60)
     near = lambda i: " ".join(w if n != 20 + i % 30 else f"word{chr(97 + i)}" for n, w in enumerate(shared.split()))
