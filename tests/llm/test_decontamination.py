@@ -64,3 +64,32 @@ def test_empty_tables(spark, table):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_any_number_of_windows_gives_the_same(spark, table, prose, monkeypatch):
+    first, second = prose(1, 30), prose(2, 20)
+    items = spark.createDataFrame([(1, first), (2, second), (3, "Über kurz, oder LANG"), (4, None), (10, first), (7, "solo")], "item_id long, text string")
+    docs = table(
+        [(i, f"{prose(i + 40, 30)} {first.upper()}") for i in range(30)] + [(i, prose(i + 90, 200)) for i in range(40, 50)]
+        + [(50, None), (None, ""), (None, "solo"), (51, "sie sagte: über  kurz - oder lang!"), (51, "sie sagte: über  kurz - oder lang!"), (52, second + " " + second)]
+    )
+    sent = sorted(map(str, D.hits(docs, items).collect()))
+    for name in ("MOST_WINDOWS", "MOST_BYTES"):
+        with monkeypatch.context() as patch:
+            patch.setattr(D, name, 0)
+            found = D.hits(docs, items)
+            assert sorted(map(str, found.collect())) == sent
+            cut = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), D.words(F.col("text")).alias("words"))
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+            try:
+                plan = D.shuffled(cut, D.item_windows(items), [13, 4, 1])._jdf.queryExecution().executedPlan().toString()
+            finally:
+                spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            # what goes to meet the windows by hash carries no words; no row has a made-up key
+            lines = plan.splitlines()
+            dealt = [k for k, line in enumerate(lines) if "Exchange hashpartitioning(hash" in line]
+            below = next(line for line in lines[dealt[0] + 1 :] if "Project" in line)
+            assert dealt and "words" not in below.split("[", 1)[1] and "Union" in plan
+    nothing = spark.createDataFrame([], "item_id long, text string")
+    monkeypatch.setattr(D, "MOST_BYTES", -1)
+    assert {(r.n_hit, tuple(r["items"])) for r in D.hits(docs, nothing).collect()} == {(0, ())}

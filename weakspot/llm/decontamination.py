@@ -1,10 +1,11 @@
 """Benchmark decontamination: word windows of the test items looked up in every text.
 
 Each item gives its windows of `length` consecutive words; a shorter item is one
-window.  Windows are few and known by their number, so their hashes are sent to all
-executors up to `MOST_WINDOWS`; beyond it the same join shuffles.  Every window of
-every text is looked up by hash, a hit is verified word by word, and hits of a
-document become one row, so that only hits and one row per document are shuffled.
+window.  Every window of every text is looked up by hash, a hit is verified word by
+word, and hits of a document become one row.  Windows are counted and weighed first:
+up to `MOST_WINDOWS` and `MOST_BYTES` their table is sent to all executors, so that only
+hits and one row per document are shuffled.  Beyond it hashes of text windows are
+shuffled, without words, and words are looked up for hits only.
 
 A document is contaminated if hit words are at least `share` of its words.  Null and
 empty texts have no words and are clean.  Rows with equal doc_id and text share one
@@ -20,7 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from weakspot.llm.common import WORD_BREAK, read, with_names, words
 
 LENGTH = 13
+#: windows, and bytes of them, up to which their table is sent to all executors
 MOST_WINDOWS = 2_000_000
+MOST_BYTES = 256 << 20
 
 
 def item_windows(benchmark: DataFrame, length: int = LENGTH, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -37,34 +40,32 @@ def window_hash(size: int | Column, window: Column) -> Column:
     return F.xxhash64(F.lit(size) if isinstance(size, int) else size, window)
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per distinct (doc_id, text): words, hit ranges, items, and how many rows it stands for."""
-    windows = item_windows(benchmark, length)
-    sizes = {row["size"]: row["n"] for row in windows.groupBy("size").agg(F.count("*").alias("n")).collect()}
-    # one more entry, of size 0, lets each document through once
+def hashes(words_: str, size: int) -> Column:
+    """Hashes of a text's windows of `size` words, in order."""
+    n = F.size(words_)
+    run = F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: window_hash(size, F.slice(words_, i, size)))
+    return F.when(n >= size, run).otherwise(F.array().cast("array<bigint>"))
+
+
+def sent_out(cut: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """(doc_id, text_hash, n_words, hit, items, whole): the table of windows is sent to all executors.
+
+    A text's row isn't shuffled before its hits are found; one more window, of size 0,
+    lets each text through once.
+    """
     ends = windows.sparkSession.range(1).select(
         F.array().cast("array<string>").alias("window"), F.array().cast("array<string>").alias("items"), F.lit(0).alias("size"),
     )
-    table = windows.unionByName(ends).withColumn("hash", window_hash(F.col("size"), F.col("window")))
-    if sum(sizes.values()) <= MOST_WINDOWS:
-        table = F.broadcast(table)
-    order = sorted(sizes, reverse=True)
+    table = F.broadcast(windows.unionByName(ends).withColumn("hash", window_hash(F.col("size"), F.col("window"))))
     n = F.size("words")
-    empty = F.array().cast("array<bigint>")
-
-    def hashes(size: int) -> Column:
-        run = F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: window_hash(size, F.slice("words", i, size)))
-        return F.when(n >= size, run).otherwise(empty)
-
     last = F.array(window_hash(0, F.array().cast("array<string>")))
-    cut = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), words(F.col(text)).alias("words"))
-    spread = cut.withColumn("hashes", F.concat(*[hashes(size) for size in order], last)).select(
+    spread = cut.withColumn("hashes", F.concat(*[hashes("words", size) for size in sizes], last)).select(
         # outer, since the filter put before a plain explode would work the hashes out once more
         "doc_id", "text_hash", "words", F.posexplode_outer("hashes").alias("at", "hash"),
     )
     before = F.lit(0)
     offset = F.lit(0)
-    for size in order:
+    for size in sizes:
         offset = F.when(F.col("size") == size, before).otherwise(offset)
         before = before + F.greatest(n - (size - 1), F.lit(0))
     start = F.col("at") - offset
@@ -73,9 +74,49 @@ def hits(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, doc_id: st
         .otherwise(F.slice("words", F.greatest(start + 1, F.lit(1)), F.col("size")) == F.col("window"))
     )
     hit = F.when(F.col("size") > 0, F.struct(start.alias("start"), F.col("size").alias("size")))
+    return found.select("doc_id", "text_hash", n.alias("n_words"), hit.alias("hit"), "items", (F.col("size") == 0).alias("whole"))
+
+
+def shuffled(cut: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """The same rows for any number of windows.
+
+    Only text keys, places and hashes are shuffled to meet the windows.  Windows that may
+    occur in a text are looked up in its words afterwards, in texts that have any; the
+    row per text comes from the texts themselves.
+    """
+    def places(size: int) -> Column:
+        return F.transform(hashes("words", size), lambda h, i: F.struct(h.alias("hash"), i.alias("start"), F.lit(size).alias("size")))
+
+    placed = F.concat(F.array().cast("array<struct<hash: bigint, start: int, size: int>>"), *map(places, sizes))
+    spread = cut.select("doc_id", "text_hash", F.explode_outer(placed).alias("w")).select("doc_id", "text_hash", "w.*").filter(F.col("hash").isNotNull())
+    known = windows.withColumn("hash", window_hash(F.col("size"), F.col("window")))
+    met = spread.join(known, ["hash", "size"]).select("doc_id", "text_hash", F.struct("start", "size").alias("hit"), "window", "items")
+    likely = met.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("hit", "window", "items")).alias("likely"))  # of one text
+    likely = likely.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "likely")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    seen = cut.join(likely, same).select("doc_id", "text_hash", "words", F.explode("likely").alias("x"))
+    true = F.slice("words", F.col("x.hit.start") + 1, F.col("x.hit.size")) == F.col("x.window")
+    none = F.lit(None).cast("struct<start: int, size: int>")
+    verified = seen.filter(true).select(
+        "doc_id", "text_hash", F.size("words").alias("n_words"), F.col("x.hit").alias("hit"), F.col("x.items").alias("items"), F.lit(False).alias("whole"),
+    )
+    texts = cut.select(
+        "doc_id", "text_hash", F.size("words").alias("n_words"), none.alias("hit"), F.array().cast("array<string>").alias("items"), F.lit(True).alias("whole"),
+    )
+    return texts.unionByName(verified)
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per distinct (doc_id, text): words, hit ranges, items, and how many rows it stands for."""
+    windows = item_windows(benchmark, length)
+    # a window's words with their lengths, and its items
+    room = F.octet_length(F.array_join("window", " ")) + 16 * F.size("window") + 32 * F.size("items") + 64
+    counted = windows.groupBy("size").agg(F.count("*").alias("n"), F.sum(room).alias("bytes")).collect()  # at most `length` rows
+    sizes = sorted((row["size"] for row in counted), reverse=True)
+    small = sum(row["n"] for row in counted) <= MOST_WINDOWS and sum(row["bytes"] for row in counted) <= MOST_BYTES
+    cut = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), words(F.col(text)).alias("words"))
     per_text = (
-        found.select("doc_id", "text_hash", F.size("words").alias("n_words"), hit.alias("hit"), "items", (F.col("size") == 0).alias("whole"))
-        .groupBy("doc_id", "text_hash")
+        (sent_out if small else shuffled)(cut, windows, sizes).groupBy("doc_id", "text_hash")
         .agg(
             F.max("n_words").cast("long").alias("n_words"), F.count_if("whole").alias("rows"),
             F.array_sort(F.collect_set("hit")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
