@@ -1,7 +1,6 @@
 import hashlib
 import random
 import re
-import secrets
 import string
 from collections import Counter
 
@@ -36,8 +35,8 @@ def test_base_spans_stay_and_match(table):
 
 
 def test_random_strings_are_told_from_words(spark, prose):
-    draw = string.ascii_letters + string.digits
-    keys = {i: "".join(secrets.choice(draw) for _ in range(40)) for i in range(40)}
+    draw, seeded = string.ascii_letters + string.digits, random.Random(11)
+    keys = {i: "".join(seeded.choice(draw) for _ in range(40)) for i in range(40)}
     docs = [(i, f"{prose(i, 200)} {keys.get(i, '')} {prose(i + 1000, 50)}") for i in range(400)]
     docs += [(500 + i, prose(i, 60).replace(" ", "-") + " " + prose(i, 150)) for i in range(40)]  # long, but words
     rows = {r.doc_id: r for r in S.scan_secrets(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
@@ -111,7 +110,39 @@ def test_all_running_text_counts_as_ordinary(spark, prose):
             for at in range(0, len(letters) - least + 1, least):
                 want[group, S.cell_of(S.randomness(letters[at: at + least]))] += 1
     got = S.histogram(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    assert {key: plain for key, (_, plain) in got.items() if plain} == dict(want)
-    rows = [prose(i, 40).replace(" ", "")[:64] for i in range(50)] + [secrets.token_hex(32), "7" * 64, "+_" * 32]
+    assert {key: plain for key, (_, plain, _) in got.items() if plain} == dict(want)
+    rows = [prose(i, 40).replace(" ", "")[:64] for i in range(50)] + [random.Random(3).randbytes(32).hex(), "7" * 64, "+_" * 32]
     fast = S.randomness_of_rows(np.frombuffer("".join(rows).encode(), dtype=np.uint8).reshape(-1, 64))
     assert np.allclose(fast, [S.randomness(r) for r in rows])
+
+
+def test_of_nested_candidates_one_is_reported_and_counted(spark, prose):
+    seeded = random.Random(21)
+    make = lambda n, marks="": "".join(seeded.choice(string.ascii_letters + string.digits + marks) for _ in range(n))
+    nested = [f"{make(30)}/{make(30)}_x" for _ in range(5)] + [f"{make(24)}+{make(24)}/{make(21)}" for _ in range(5)]
+    rows = [(i, f"{prose(i, 20)} {key}") for i, key in enumerate(nested)] + [(50, f"password={make(40)}"), (51, f"token: {make(40)}")]
+    counts = S.histogram(spark.createDataFrame(rows, "doc_id long, text string"))
+    limits = [float(S.CELLS[4])] * len(S.CLASSES)
+    spans = [S.spans_of(text, limits) for _, text in rows]
+    told = Counter(S.length_class(end - start) for found in spans for kind, start, end in found if kind == "random")
+    assert sum(told.values()) >= 10
+    assert {g: counts.get((g, 4), (0, 0, 0))[2] for g in told} == dict(told)
+    # each piece is a test, and what touches a base span is none
+    pieces = Counter(S.length_class(len(c[2])) for _, text in rows[:10] for c in S.candidates(text))
+    assert {g: sum(c[0] for (group, _), c in counts.items() if group == g) for g in pieces} == dict(pieces)
+    assert sum(pieces.values()) > 2 * sum(told.values())
+    overlapping = [(0, 50, "a"), (0, 20, "b"), (25, 50, "c"), (60, 90, "d"), (61, 85, "e")]
+    assert [x[2] for x in S.outermost(overlapping)] == ["a", "d"]
+    assert [x[2] for x in S.untouched(overlapping, [("hex", 18, 26), ("assign", 90, 99)])] == ["d", "e"]
+
+
+def test_share_of_false_reports_is_held(spark, prose):
+    seeded = random.Random(31)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    keys = {i: "".join(seeded.choice(alphabet) for _ in range(44)) for i in range(0, 2000, 10)}
+    path = lambda i: "/".join(w.title() + str(i % 7) for w in prose(i + 5000, 9).split())
+    rows = [(i, f"{prose(i, 120)} {path(i)} {keys.get(i, '')}") for i in range(2000)]
+    found = S.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), rate=0.05).collect()
+    told = [(r.doc_id, r.text[s.start : s.end]) for r in found for s in r.secrets if s.kind == "random"]
+    true = [x for x in told if x[1] in keys.get(x[0], "")]
+    assert len({d for d, _ in true}) >= 0.8 * len(keys) and len(told) - len(true) <= 0.05 * len(told)

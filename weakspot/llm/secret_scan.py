@@ -15,9 +15,10 @@ How often ordinary writing of the same length passes for random is taken from th
 corpus: the whole running text of each document, without blanks, is cut into stretches
 that follow each other, once for each length class.  What is left at the end is shorter
 than the class.  Per length class, the cut on the p-value is the lowest at which the
-expected number of ordinary strings among the candidates beyond the cut is at most
-`rate` of them (Benjamini-Hochberg on a grid).  Counts cover all documents; what
-reaches the driver is one row per class and cell of the grid.
+expected number of ordinary strings beyond it, out of all candidates that touch no base
+span, is at most `rate` of the spans that would be reported at it (Benjamini-Hochberg on
+a grid): of nested candidates one is reported, though each is a test.  Counts cover all
+documents; what reaches the driver is one row per class and cell of the grid.
 
 Null texts count as empty.  Repeated rows are worked off one by one; further columns
 are kept.
@@ -27,8 +28,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -212,8 +215,47 @@ class Ordinary:
         self.waiting, self.held = [], 0
 
 
-def histogram(docs: DataFrame, text: str = "text") -> dict[tuple[int, int], tuple[int, int]]:
-    """(class, cell) -> (candidates, ordinary strings), over all documents."""
+def base_spans(text: str, raw: bytes, long: bool) -> list[tuple[str, int, int]]:
+    """Spans of the fixed patterns; `long` tells whether a run of 20 key characters is there at all."""
+    low = raw.lower()
+    spans = []
+    if any(k.encode() in low for k in KEYWORDS):
+        spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    if "AKIA" in text:
+        spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
+    if long:
+        spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 32]
+    return spans
+
+
+def untouched(found: list[tuple[int, int, str]], base: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
+    """Candidates that overlap no base span."""
+    if not base:
+        return found
+    ordered = sorted((start, end) for _, start, end in base)
+    starts, reach = [s for s, _ in ordered], list(accumulate((e for _, e in ordered), max))
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return not before or reach[before - 1] <= start
+
+    return [c for c in found if free(c[0], c[1])]
+
+
+def outermost(spans: Iterable[tuple]) -> Iterator[tuple]:
+    """Of nested and overlapping spans (start, end, ...) those that come first; runs come in order."""
+    taken: list[tuple[int, int]] = []
+    for span in spans:
+        start, end = span[:2]
+        if taken and start >= max(e for _, e in taken):
+            taken = []
+        if not any(s < end and start < e for s, e in taken):
+            taken.append((start, end))
+            yield span
+
+
+def histogram(docs: DataFrame, text: str = "text") -> dict[tuple[int, int], tuple[int, int, int]]:
+    """(class, cell) -> (candidates, ordinary strings, spans reported with the cut at the cell), over all documents."""
 
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -221,8 +263,16 @@ def histogram(docs: DataFrame, text: str = "text") -> dict[tuple[int, int], tupl
             counts = ordinary.counts
             for value in batch.iloc[:, 0]:
                 if value:
-                    for _, _, found in candidates(value):
-                        counts[length_class(len(found)), cell_of(randomness(found)), 0] += 1
+                    raw = value.encode("utf-8", "surrogatepass")
+                    long = candidates(value, raw)
+                    if long:
+                        left = [
+                            (start, end, length_class(len(found)), cell_of(randomness(found)))
+                            for start, end, found in untouched(long, base_spans(value, raw, True))
+                        ]
+                        counts.update((group, cell, 0) for _, _, group, cell in left)
+                        for cut in range(1, 1 + max((cell for *_, cell in left), default=0)):
+                            counts.update((group, cut, 2) for _, _, group, _ in outermost(c for c in left if c[3] >= cut))
                     ordinary.add(value)
             ordinary.work_off()
             if counts:  # an empty frame has no types
@@ -231,22 +281,20 @@ def histogram(docs: DataFrame, text: str = "text") -> dict[tuple[int, int], tupl
     rows = (
         docs.select(F.col(text)).mapInPandas(counted, "class int, cell int, plain int, n long")
         .groupBy("class", "cell")
-        .agg(F.sum(F.when(F.col("plain") == 0, F.col("n"))).alias("found"), F.sum(F.when(F.col("plain") == 1, F.col("n"))).alias("plain"))
+        .agg(*[F.sum(F.when(F.col("plain") == kind, F.col("n"))).alias(name) for kind, name in enumerate(("found", "ordinary", "told"))])
     )
-    return {(r["class"], r["cell"]): (r["found"] or 0, r["plain"] or 0) for r in rows.collect()}
+    return {(r["class"], r["cell"]): (r["found"] or 0, r["ordinary"] or 0, r["told"] or 0) for r in rows.collect()}
 
 
-def cuts(counts: dict[tuple[int, int], tuple[int, int]], rate: float) -> list[float]:
+def cuts(counts: dict[tuple[int, int], tuple[int, int, int]], rate: float) -> list[float]:
     """Per length class the lowest p-value that counts as random; above 1 where none does."""
     result = []
     for group in range(len(CLASSES)):
-        found = [counts.get((group, cell), (0, 0))[0] for cell in range(len(CELLS))]
-        plain = [counts.get((group, cell), (0, 0))[1] for cell in range(len(CELLS))]
+        found, plain, told = zip(*(counts.get((group, cell), (0, 0, 0)) for cell in range(len(CELLS))))
         cut = 2.0
         for cell in range(1, len(CELLS)):
-            beyond = sum(found[cell:])
             tail = (1 + sum(plain[cell:])) / (1 + sum(plain))
-            if beyond and sum(found) * tail <= rate * beyond:
+            if told[cell] and sum(found) * tail <= rate * told[cell]:
                 cut = float(CELLS[cell])
                 break
         result.append(cut)
@@ -256,22 +304,11 @@ def cuts(counts: dict[tuple[int, int], tuple[int, int]], rate: float) -> list[fl
 def spans_of(text: str, limits: list[float]) -> list[tuple[str, int, int]]:
     """All spans by start, then kind."""
     raw = text.encode("utf-8", "surrogatepass")
-    low = raw.lower()
-    spans = []
-    if any(k.encode() in low for k in KEYWORDS):
-        spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
-    if "AKIA" in text:
-        spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     long = candidates(text, raw)
-    if long:
-        spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 32]
-        base = list(spans)
-        for start, end, found in long:
-            if any(s < end and start < e for _, s, e in base):
-                continue
-            if randomness(found) >= limits[length_class(len(found))]:
-                spans.append(("random", start, end))
-                base.append(spans[-1])  # the pieces of what is reported are not reported again
+    spans = base_spans(text, raw, bool(long))
+    # the pieces of what is reported are not reported again
+    random = (c for c in untouched(long, spans) if randomness(c[2]) >= limits[length_class(len(c[2]))])
+    spans += [("random", start, end) for start, end, _ in outermost(random)]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
