@@ -8,10 +8,11 @@ its n-grams of the greatest n of which one is known; a word without any known
 n-gram adds nothing.  The score is the posterior of the best language over all words
 of the whole text; ties go to the language that comes first.
 
-The model is fitted on a bounded sample: about `sample` labelled rows per language,
-drawn by a hash of doc_id and text, for the `max_languages` most frequent languages, and it
-holds at most `entries` words and n-grams in all, so that it can be broadcast
-whatever the corpus.  Rows whose crc32(doc_id) mod 4 is 2 are held out.  Only text
+The model is fitted on a sample of about `sample` labelled rows per language, drawn by a
+hash of doc_id and text, of every language.  It keeps `entries` words and n-grams, shared
+out evenly over languages and orders, and `least` of each at any rate: its size depends
+on the number of languages and not on the corpus.  An entry holds the languages that
+know it only, so that many languages need no wide table.  Rows whose crc32(doc_id) mod 4 is 2 are held out.  Only text
 and lang are learnt from; predictions see the text alone.
 
 Null texts and texts without a letter are `und` with score 0, and so is every text
@@ -27,14 +28,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weakspot.llm.common import fraction_of, read, row_key, with_names
+from weakspot.llm.common import draw_of, read, row_key, with_names
 
 UNDECIDED = "und"
 ORDERS = (5, 4, 3, 2, 1)
 #: UTF-8 bytes of lowered text to letters and blanks
 LETTERS = bytes(b if 97 <= b <= 122 or 65 <= b <= 90 or b >= 128 else 32 for b in range(256))
-#: unseen words whose scores a task keeps at hand; beyond it they are worked out anew
-REMEMBERED = 200_000
+#: scores of words that a task keeps at hand, shared out over the languages; beyond it they are worked out anew
+REMEMBERED, LEAST_REMEMBERED = 1_600_000, 10_000
+#: numbers up to which entries are kept as a matrix
+WIDE = 4_000_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -77,25 +80,46 @@ def counted(rows: DataFrame, text: str, lang: str) -> DataFrame:
     )
 
 
+class Entries:
+    """Log frequencies of words and n-grams: per order what a language gives that doesn't know them, and what others add."""
+
+    def __init__(self, absent: np.ndarray, orders: np.ndarray, bounds: np.ndarray, languages: np.ndarray, added: np.ndarray):
+        self.absent, self.orders, self.bounds, self.languages, self.added = absent, orders, bounds, languages, added
+
+    def dense(self) -> np.ndarray:
+        values = self.absent[self.orders]
+        np.add.at(values, (np.repeat(np.arange(len(self)), np.diff(self.bounds)), self.languages), self.added)
+        return values
+
+    def __len__(self) -> int:
+        return len(self.orders)
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        if row >= len(self):
+            raise IndexError(row)
+        values = self.absent[self.orders[row]].copy()
+        mine = slice(self.bounds[row], self.bounds[row + 1])
+        values[self.languages[mine]] += self.added[mine]
+        return values
+
+
 class Rows(dict):
-    """Word to row of the score matrix; rows of unseen words are added as they come."""
+    """Word to row of a matrix of scores; rows are added as words come."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.start(REMEMBERED)
-
-    def start(self, spare: int) -> None:
-        self.clear()
-        self.update(self.model.words)
-        self.used = len(self.model.values)
-        self.scores = np.vstack([self.model.values, np.zeros((spare, len(self.model.languages)))])
+        self.room = max(LEAST_REMEMBERED, REMEMBERED // max(1, len(model.languages)))
+        self.scores = np.zeros((self.room, len(model.languages)))
+        self.used = 0
 
     def make_room(self, n: int) -> None:
-        if self.used + n > len(self.scores):
-            self.start(max(REMEMBERED, n))
+        if self.used + n > self.room:
+            self.clear()
+            self.used = 0
 
     def __missing__(self, word: bytes) -> int:
-        self.scores[self.used] = self.model.backoff(word)
+        known = self.model.words.get(word)
+        self.scores[self.used] = self.model.backoff(word) if known is None else self.model.values[known]
         self[word] = self.used
         self.used += 1
         return self[word]
@@ -104,7 +128,7 @@ class Rows(dict):
 class Model:
     """Log frequencies per language; rows of one matrix, found by word or n-gram."""
 
-    def __init__(self, languages: list[str], words: dict[bytes, int], grams: dict[str, int], values: np.ndarray):
+    def __init__(self, languages: list[str], words: dict[bytes, int], grams: dict[str, int], values: np.ndarray | Entries):
         self.languages, self.words, self.grams, self.values = languages, words, grams, values
 
     def backoff(self, word: bytes) -> np.ndarray:
@@ -120,30 +144,36 @@ class Model:
             if not text or not self.languages or not any(map(str.isalpha, text)):
                 yield UNDECIDED, 0.0
                 continue
-            found = Counter(letter_words(text))
-            rows.make_room(len(found))
-            total = np.fromiter(found.values(), dtype=float, count=len(found)) @ rows.scores[[rows[w] for w in found]]
+            found = list(Counter(letter_words(text)).items())
+            total = np.zeros(len(self.languages))
+            for at in range(0, len(found), rows.room // 2):
+                part = found[at : at + rows.room // 2]
+                rows.make_room(len(part))
+                total += np.array([n for _, n in part], dtype=float) @ rows.scores[[rows[w] for w, _ in part]]
             best = int(total.argmax())
             yield self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
 def train(
     docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    sample: int = 500, entries: int = 200_000, max_languages: int = 200, alpha: float = 0.5,
+    sample: int = 500, entries: int = 200_000, least: int = 1_000, alpha: float = 0.5,
 ) -> Model:
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id)))
     sizes = {
         row["lang"]: row["n"]
-        for row in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+        for row in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()  # one row a language
     }
     if not sizes:
         return Model([], {}, {}, np.zeros((0, 0)))
-    drawn = F.lit(False)
-    for name, n in sizes.items():
-        drawn = drawn | ((F.col(lang) == name) & (fraction_of(row_key(F.col(doc_id), F.col(text)), min(1.0, sample / n)) | F.lit(n <= sample)))
-    share = max(1, entries // len(sizes) // (1 + len(ORDERS)))
-    counts = counted(labelled.filter(drawn), text, lang)
+    bounds = [(name, (1 << 40) * sample // n) for name, n in sizes.items()]
+    below = docs.sparkSession.createDataFrame(bounds, "_name string, _below long")
+    key = draw_of(row_key(F.col("doc_id"), F.col("text")))
+    drawn = (
+        labelled.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+        .join(F.broadcast(below), F.col("lang") == F.col("_name")).filter(key < F.col("_below"))
+    )
+    share = max(least, entries // len(sizes) // (1 + len(ORDERS)))
+    counts = counted(drawn, "text", "lang")
     # the most frequent of each language and order, out of a bounded sample
     group = Window.partitionBy("lang", "order")
     place = group.orderBy(F.desc("n"), "gram")
@@ -153,20 +183,22 @@ def train(
     )
     languages = sorted(sizes)
     place_of = {name: i for i, name in enumerate(languages)}
-    keys: dict[tuple[int, str], int] = {}
-    for order, gram in zip(frame["order"], frame["gram"]):
-        keys.setdefault((int(order), gram), len(keys))
-    values = np.zeros((len(keys), len(languages)))
-    for name, order, gram, n in frame[["lang", "order", "gram", "n"]].itertuples(index=False):
-        values[keys[int(order), gram], place_of[name]] = n
-    orders = np.array([order for order, _ in keys], dtype=int)
     floor = np.zeros((1 + max(ORDERS), len(languages)))
     for name, order, total, kinds in frame[["lang", "order", "total", "kinds"]].drop_duplicates().itertuples(index=False):
         floor[int(order), place_of[name]] = np.log(total + alpha * kinds)
     floor[floor == 0] = np.log(1 + alpha)
-    values = np.log(values + alpha) - floor[orders]
-    words = {gram.encode(): row for (order, gram), row in keys.items() if order == 0}
-    grams = {gram: row for (order, gram), row in keys.items() if order > 0}
+    frame = frame.sort_values(["order", "gram", "lang"], ignore_index=True)
+    new = ((frame["order"] != frame["order"].shift()) | (frame["gram"] != frame["gram"].shift())).to_numpy()
+    starts = np.flatnonzero(new)
+    orders, kept = frame["order"].to_numpy()[starts], frame["gram"].to_numpy()[starts]
+    values = Entries(
+        np.log(alpha) - floor, orders, np.append(starts, len(frame)), frame["lang"].map(place_of).to_numpy(dtype=np.int32),
+        (np.log(frame["n"].to_numpy() + alpha) - np.log(alpha)),
+    )
+    if len(values) * len(languages) <= WIDE:
+        values = values.dense()  # the same numbers, found faster
+    words = {gram.encode(): row for row, (order, gram) in enumerate(zip(orders, kept)) if order == 0}
+    grams = {gram: row for row, (order, gram) in enumerate(zip(orders, kept)) if order > 0}
     return Model(languages, words, grams, values)
 
 
