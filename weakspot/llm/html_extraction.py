@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weakspot.llm.common import draw_of, read, room_for
+from weakspot.llm.common import draw_of, read, room_for, smallest
 from weakspot.llm.page_tree import DIM, EDGES, Page
 
 MOST, LONGEST = 240, 40_000
@@ -245,7 +245,7 @@ def train(pages: DataFrame, most: int = MOST, longest: int = LONGEST, url: str =
     """A model from a sample of pages that mark an article."""
     marks = F.col(html).rlike("(?i)<(article|main)\\b") & (F.length(html) <= longest)
     drawn = pages.filter(marks).select(draw_of(F.col(url), F.col(html)).alias("draw"), F.col(html).alias("html"))
-    return fitted(labelled_pages([row.html for row in drawn.orderBy("draw", "html").limit(most).collect()]))
+    return fitted(labelled_pages([row.html for row in smallest(drawn, "draw", most).collect()]))
 
 
 def texts_of(sources: list[str | None], model: Model) -> list[tuple[str, float | None]]:
