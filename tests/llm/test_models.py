@@ -165,3 +165,46 @@ def test_samples_stay_bounded_where_ids_are_null_or_repeated(spark, table, prose
     monkeypatch.setattr(I, "counted", lambda sample, *names: taken.append(sample.count()) or counted(sample, *names))
     I.train(spark.createDataFrame([(*r, "aa") for r in rows], "doc_id long, text string, lang string"), sample=60)
     assert 30 <= taken[0] <= 100
+
+
+def test_mixing_learns_from_a_bounded_sample_whatever_ids_repeat(spark, table, prose, monkeypatch):
+    learnt = []
+    fit = lambda lists, labels, k, *_: learnt.append((len(lists), sum(map(len, lists)))) or (np.zeros((k, M.BUCKETS)), np.zeros(k))
+    monkeypatch.setattr(M, "fit", fit)
+    labels = spark.createDataFrame([(i, d) for i in range(3000) for d in ("good",)] + [(7, "poor")] * 3000, "doc_id long, domain string")
+    hot = table([(7, prose(i, 12)) for i in range(4000)] + [(i, prose(i, 12)) for i in range(300)])
+    same = table([(7, prose(1, 12))] * 4000)
+    for docs in (hot, same):
+        M.train(docs, labels, ["good", "poor"], train_rows=100)
+    M.train(hot, labels, ["good", "poor"], train_rows=100, train_entries=150)
+    assert 90 <= learnt[0][0] <= 100 and learnt[1][0] <= 2 and learnt[2][1] <= 150 and learnt[2][0] >= 5
+    # the hot id doesn't stand for all: other ids are drawn, too
+    rows = M.labelled_rows(table([(i, prose(i, 5)) for i in range(500)]), labels, ["good", "poor"], "text", "doc_id", 100)
+    assert 95 <= rows.count() <= 102 and rows.select("id").distinct().count() >= 95
+
+
+def test_smallest_draws(spark):
+    from weakspot.llm.common import draw_of, smallest
+
+    rows = spark.range(5000).select(draw_of(F.col("id")).alias("draw"), F.col("id").alias("x")).union(spark.range(900).selectExpr("5L", "-1L"))
+    got = [tuple(r) for r in smallest(rows, "draw", 50).collect()]
+    assert got == sorted({tuple(r) for r in rows.collect()})[:50] and got[0] == (5, -1)
+    assert smallest(rows.limit(0), "draw", 50).count() == 0 and smallest(rows, "draw", 9000).count() == 5001
+
+
+def test_every_language_can_be_predicted(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"l{k:03d}" for k in range(300)]
+    speak = lambda k, seed: " ".join(letters[k % 26] + letters[k // 26] + random.Random(f"{k}{seed}{w}").choice(letters) * 2 for w in range(30))
+    rows = [(4 * k + j, speak(k, j), names[k]) for k in range(300) for j in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = {r.lang for r in docs.filter(~I.held_out(F.col("doc_id"))).select("lang").distinct().collect()}
+    model = I.train(docs, sample=3)
+    assert model.languages == sorted(learnt) and len(learnt) > 290
+    got = I.identify(docs, model).collect()
+    assert np.mean([r.lang_pred == r.lang for r in got if r.lang in learnt]) > 0.99
+    # a text of more kinds of words than a task keeps at hand is worked off in parts
+    text = " ".join(f"{a}{b}{c}" for a in letters for b in letters for c in letters)
+    rows, whole = I.Rows(model), [list(model.predict([text]))]
+    rows.room = 64
+    assert np.allclose(list(model.predict([text], rows))[0][1], whole[0][0][1]) and list(model.predict([text], rows))[0][0] == whole[0][0][0]

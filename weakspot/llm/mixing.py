@@ -14,7 +14,7 @@ has one entry per domain.  So an iteration is one sum over a narrow table
 (in the shared folder) and the history of gradients, a few numbers, is all that the
 driver keeps; the rates of all documents are one expression of it.
 
-The classifier is fitted on a bounded sample of about `train_rows` labelled rows.
+The classifier is fitted on a bounded sample of at most `train_rows` labelled rows.
 Labels with a null id or domain are left out; a document labelled twice
 counts for each label.  Null and empty texts have no words: they get the
 posterior of a text without features, and have no effect on totals.  With no labels at all, all domains are equally
@@ -26,9 +26,9 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weakspot.llm.common import UPPER, fraction_of, held, pinned, read, with_names, words
+from weakspot.llm.common import UPPER, draw_of, held, read, smallest, with_names, words, written
 
 BUCKETS = 1 << 14
 TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
@@ -102,20 +102,51 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, k: int, epochs: int = 15, ba
     return weights, constants
 
 
-def train(docs: DataFrame, labelled: DataFrame, domains: list[str], text: str = "text", doc_id: str = "doc_id", train_rows: int = 6_000) -> Classifier:
-    """Fitted by the driver on the bucket lists of a bounded sample, at most BUCKETS entries a row."""
-    usable = labelled.select(F.col("doc_id").alias("_label_id"), "domain").filter(F.col("_label_id").isNotNull() & F.col("domain").isin(domains))
-    total = usable.count()
-    if total > train_rows:
-        usable = usable.filter(fraction_of(F.col("_label_id"), train_rows / total))
-    marked = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).join(F.broadcast(usable), F.col("_doc") == F.col("_label_id"))
-    rows = held(marked, "_words", words(F.col("_text"))).select("domain", buckets_of(F.col("_text"), F.col("_words")).alias("buckets")).collect()
+def labelled_rows(docs: DataFrame, labelled: DataFrame, domains: list[str], text: str, doc_id: str, train_rows: int) -> DataFrame:
+    """(id, text, domain): at most `train_rows` labelled documents, whatever ids repeat.
+
+    Labels are drawn by id and domain among those that meet a document, which reads no
+    text.  Where ids repeat so that more documents than that bear the drawn labels, these
+    are drawn once more by their texts; equal rows count once.
+    """
+    usable = labelled.select(F.col("doc_id").alias("id"), "domain").filter(F.col("id").isNotNull() & F.col("domain").isin(domains)).distinct()
+    ids = docs.select(F.col(doc_id).alias("id"))
+    met = ids.join(usable, "id").groupBy("id", "domain").agg(F.count("*").alias("copies"))
+    chosen = smallest(met.withColumn("draw", draw_of(F.col("id"), F.col("domain"))), "draw", train_rows).collect()  # at most train_rows short rows
+    picked = docs.sparkSession.createDataFrame([(row["id"], row["domain"]) for row in chosen], usable.schema)
+    found = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")
+    if sum(row["copies"] for row in chosen) <= train_rows:
+        return found.select("id", "text", "domain")
+    drawn = found.withColumn("draw", draw_of(F.col("id"), F.col("domain"), F.col("text")))
+    return smallest(drawn, "draw", train_rows).select("id", "text", "domain")
+
+
+def train(
+    docs: DataFrame, labelled: DataFrame, domains: list[str], text: str = "text", doc_id: str = "doc_id", train_rows: int = 6_000,
+    train_entries: int = 8_000_000,
+) -> Classifier:
+    """Fitted by the driver on the buckets of at most `train_rows` rows, with `train_entries` buckets in all.
+
+    The second bound is met in the order of a hash, row by row, and binds only where texts
+    of the sample hold more than 1,300 kinds of words in the mean.
+    """
+    marked = labelled_rows(docs, labelled, domains, text, doc_id, train_rows)
+    listed = held(marked, "_words", words(F.col("text"))).select(
+        draw_of(F.col("id"), F.col("domain"), F.col("text")).alias("draw"), "domain", F.array_sort(buckets_of(F.col("text"), F.col("_words"))).alias("buckets"),
+    )
+    so_far = F.sum(F.size("buckets")).over(Window.orderBy("draw", "domain", "buckets"))  # over a bounded sample
+    # as text: the driver holds no list of numbers per row
+    rows = listed.withColumn("so_far", so_far).filter(F.col("so_far") <= train_entries).select(
+        "domain", F.array_join(F.col("buckets").cast("array<string>"), " ").alias("buckets")
+    ).collect()
     if not rows:
         return Classifier(domains, np.zeros((len(domains), BUCKETS)), np.zeros(len(domains)))
     # in a fixed order, whatever order the rows came in
-    rows = sorted(rows, key=lambda row: (row["domain"], sorted(row["buckets"])))
-    lists = [np.array(sorted(row["buckets"]), dtype=np.int64) for row in rows]
-    return Classifier(domains, *fit(lists, np.array([domains.index(row["domain"]) for row in rows]), len(domains)))
+    rows.sort(key=lambda row: (row["domain"], row["buckets"]))
+    labels = np.array([domains.index(row["domain"]) for row in rows])
+    lists = [np.fromstring(row["buckets"], dtype=np.int32, sep=" ") for row in rows]
+    del rows
+    return Classifier(domains, *fit(lists, labels, len(domains)))
 
 
 def with_posteriors(docs: DataFrame, model: Classifier, text: str, n: str, posterior: list[str]) -> DataFrame:
@@ -195,19 +226,18 @@ def mixed(
 ) -> tuple[DataFrame, list[list[float]]]:
     """(docs with n_tokens, p_<domain>, rate), and the gradients taken.
 
-    With `keep`, the result is read from the narrow table and holds those columns only;
-    else texts are classified a second time instead of being shuffled or written.
+    Texts are classified once: the classified rows are written to the shared folder, with
+    all their columns or, given `keep`, with those only.  The fit reads the narrow columns
+    of that table, and the rates are added on reading it.
     """
     domains = sorted(targets)
     model = train(docs, labelled, domains, text, doc_id, train_rows)
     posterior = [f"p_{d}" for d in domains]
     base = docs.drop("n_tokens", "rate", *posterior)
-    kept = [c for c in (keep or []) if c != text]
-    rows = with_posteriors(base, model, text, "n_tokens", posterior)
-    table = pinned(rows.select(*kept, "n_tokens", *posterior))
-    history = fitted(table, "n_tokens", posterior, [targets[d] for d in domains])
-    rate = rate_of([F.col(p) for p in posterior], history)
-    return (table if keep is not None else rows).withColumn("rate", rate), history
+    kept = base.columns if keep is None else keep
+    table, _ = written(with_posteriors(base, model, text, "n_tokens", posterior).select(*kept, "n_tokens", *posterior))
+    history = fitted(table.select("n_tokens", *posterior), "n_tokens", posterior, [targets[d] for d in domains])
+    return table.withColumn("rate", rate_of([F.col(p) for p in posterior], history)), history
 
 
 def drawn(docs: DataFrame, doc_id: str = "doc_id", rate: str = "rate") -> DataFrame:
