@@ -111,9 +111,11 @@ def dropped_lines(
         .groupBy("leaf", "template").agg(F.count("*").alias("in_docs")).filter(F.col("in_docs") >= min_docs)
     )
     best = member.join(counted, ["leaf", "template"]).groupBy("leaf", "id").agg(F.min(F.struct((-F.col("in_docs")).alias("n"), "template")).alias("best"))
-    going, _ = written(places.join(best.select("leaf", "id", "best.template"), ["leaf", "id"]))
+    # kept first, here and below: a join of two plain shuffles can split the rows of a frequent line
+    best, _ = written(best.select("leaf", "id", "best.template"))
+    going, _ = written(places.join(best, ["leaf", "id"]))
     first = going.groupBy("leaf", "template").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("unnamed"))
-    first = first.select("leaf", "template", F.when(~F.col("unnamed"), F.col("first")).alias("first"))
+    first, _ = written(first.select("leaf", "template", F.when(~F.col("unnamed"), F.col("first")).alias("first")))
     return (
         going.join(first, ["leaf", "template"]).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
         .groupBy("doc_id", "text_hash").agg(F.collect_set("id").alias("lines"))  # within one document
