@@ -39,7 +39,8 @@ from weakspot.llm.graph import components, local_roots
 BITS = 62
 CHUNK = 256
 BLOCK = 256
-PASSES_AT_ONCE = 4
+# passes that are shuffled together: so many copies of vectors, but four passes at least
+COPIES_AT_ONCE = 4_000_000
 
 
 def usable(vector: Column) -> Column:
@@ -113,19 +114,19 @@ def two_blocks(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
 
 def cell_edges(threshold: float):
     def edges(rows: pd.DataFrame) -> pd.DataFrame:
-        """Edges that join what is linked within two blocks of a cell."""
+        """Edges between components that are linked within two blocks of a cell."""
         if rows["i"].iloc[0] != rows["j"].iloc[0]:
             rows = pd.concat(two_blocks(rows))
-        whole, names = unit(rows["vector"]), rows["node"].to_numpy()
-        roots = local_roots(whole @ whole.T >= threshold)
-        joined = np.flatnonzero(roots != np.arange(len(roots)))
-        return pd.DataFrame({"a": names[joined], "b": names[roots[joined]]})
+        whole, own = unit(rows["vector"]), rows["component"].to_numpy()
+        roots = local_roots((whole @ whole.T >= threshold) | (own[:, None] == own[None, :]))
+        joined = np.flatnonzero(own != own[roots])
+        return pd.DataFrame({"a": own[joined], "b": own[roots[joined]]}).drop_duplicates()
 
     return edges
 
 
 def crowded_edges(crowded: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """Edges among the rows of cells of more than a window, each cell compared in pairs of blocks.
+    """Edges between components that cells of more than a window show, each cell compared in pairs of blocks.
 
     A component of the windows (`groups`) that fills a block has blocks of its own in
     its cell, which aren't compared with each other: the last step does that once.
@@ -151,7 +152,7 @@ def crowded_edges(crowded: DataFrame, groups: DataFrame, threshold: float) -> Da
     pairs = (
         placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("total") - 1)))
         .filter("part = -1 OR other < start OR other >= start + blocks")
-        .select(*cell, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "vector")
+        .select(*cell, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "vector")
     )
     return pairs.groupBy(*cell, "i", "j").applyInPandas(cell_edges(threshold), "a long, b long").distinct()
 
@@ -187,7 +188,8 @@ def near_duplicates(
     n = classes.count()
     parts = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     planes, total = planes_for(n, window), passes_needed(n, window, threshold, recall)
-    batches = [list(range(at, min(total, at + PASSES_AT_ONCE))) for at in range(0, total, PASSES_AT_ONCE)]
+    step = max(4, COPIES_AT_ONCE // max(1, n))
+    batches = [list(range(at, min(total, at + step))) for at in range(0, total, step)]
     cell, edges, crowds = ["pass", "size", "cell"], [], []
     for numbers in batches:
         rows = keyed(classes, numbers, planes, seed)
@@ -199,12 +201,15 @@ def near_duplicates(
         ordered = rows.repartitionByRange(parts, *cell, *apart).sortWithinPartitions("pass", "size", "key", "node")
         edges.append(pinned(ordered.select("pass", "size", "node", "vector").mapInPandas(neighbours(threshold, window), "a long, b long").distinct()))
     groups = pinned(components(reduce(DataFrame.union, edges)))
-    crowded = [(numbers, cells) for numbers, cells in zip(batches, crowds) if not cells.isEmpty()]
-    for numbers, cells in crowded:
-        rows = keyed(classes, numbers, planes, seed).join(cells, cell).select(*cell, "node", "vector")
-        edges.append(pinned(crowded_edges(rows, groups, threshold)))
-    if crowded:
-        groups = pinned(components(reduce(DataFrame.union, edges)))
+    more = []
+    for numbers, cells in zip(batches, crowds):
+        if not cells.isEmpty():
+            rows = keyed(classes, numbers, planes, seed).join(cells, cell).select(*cell, "node", "vector")
+            more.append(pinned(crowded_edges(rows, groups, threshold)))
+    if any(not found.isEmpty() for found in more):
+        # the stars of the windows with the edges that join two of them
+        stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
+        groups = pinned(components(reduce(DataFrame.union, [stars, *more])))
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
     placed = groups.join(sizes, "component").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(classes, "node")
