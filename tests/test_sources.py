@@ -4,8 +4,8 @@ import pytest
 
 from weakspot import fixed_values as fixed
 from weakspot.operators.diagnose import unprocessed
-from weakspot.schemas import DIAGNOSIS, TASK
-from weakspot.sources import gate, jsonl, tasks
+from weakspot.schemas import DIAGNOSIS, REPORT, SPEC, TASK
+from weakspot.sources import gate, jsonl, nested_gate, tasks
 from weakspot.sources.artifacts import RunStore, check_run_id
 
 TASK_ROW = {"task_id": 1, "content": "c", "canonical_solution": "s", "completion": "x", "test_code": "t",
@@ -145,3 +145,80 @@ def test_missing_artifact_is_empty(spark, tmp_path):
     store = RunStore(spark, str(tmp_path), "r1")
     assert store.read("specs", TASK) is None and store.read_report() is None
     assert store.read_or_empty("specs", TASK).count() == 0
+
+
+SPEC_ROW = {
+    "spec_id": "s1", "target_weakness": {"fault_type": fixed.FAULT_TYPES[0], "sub_tags": ["a"], "root_cause": "r", "capability_cliff": "c"},
+    "problem_spec": {
+        "algorithm_type": "a", "difficulty": fixed.DIFFICULTIES[0], "narrative_theme": "n", "key_trap": "k", "must_cover": [], "must_avoid": ["x"],
+        "constraints": {"n_range": [1, 9], "value_range": [0, 5], "time_limit": "1s", "memory_limit": "1m"},
+    },
+    "verification_spec": {"min_test_cases": 3, "must_include_edge_cases": [], "brute_force_verifiable": True, "brute_force_complexity_limit": "n"},
+    "diversity_tags": {"narrative_theme": "n", "data_structure": "d", "constraint_scale": "s"},
+    "generation_hints": {"solution_approach": "s", "common_wrong_approach": "w", "distinguishing_test": "t"},
+    "language_constraint": {"target_languages": ["python"], "language_specific": False}, "prompt_version": "v1",
+}
+
+
+def broken(row, path, value=None, drop=False):
+    row = json.loads(json.dumps(row))
+    *way, last = path
+    at = row
+    for step in way:
+        at = at[step]
+    if drop:
+        del at[last]
+    else:
+        at[last] = value
+    return row
+
+
+def violations(spark, rows, schema, rules):
+    texts = [(i, r if r is None or isinstance(r, str) else json.dumps(r)) for i, r in enumerate(rows)]
+    got = nested_gate.gated(spark.createDataFrame(texts, "n int, raw string"), schema, rules)
+    return got, [r.violations for r in got.orderBy("n").collect()]
+
+
+def test_nested_gate_names_every_path_of_a_spec(spark):
+    limits = ("problem_spec", "constraints")
+    cases = [
+        (SPEC_ROW, []), (None, ["type $"]), ("{broken", ["type $"]), ("[1]", ["type $"]), ("", ["type $"]),
+        (broken(SPEC_ROW, (*limits, "n_range"), [1]), ["value problem_spec.constraints.n_range"]),
+        (broken(SPEC_ROW, (*limits, "n_range"), [1, "2"]), ["type problem_spec.constraints.n_range[1]"]),
+        (broken(SPEC_ROW, (*limits, "n_range"), "1-2"), ["type problem_spec.constraints.n_range"]),
+        (broken(SPEC_ROW, (*limits, "more"), 1), ["unknown problem_spec.constraints.more"]),
+        (broken(SPEC_ROW, limits, drop=True), ["missing problem_spec.constraints"]),
+        (broken(SPEC_ROW, limits, None), ["type problem_spec.constraints"]),
+        (broken(SPEC_ROW, ("verification_spec", "min_test_cases"), 0), ["value verification_spec.min_test_cases"]),
+        (broken(SPEC_ROW, ("verification_spec", "min_test_cases"), 2**40), ["type verification_spec.min_test_cases"]),
+        (broken(SPEC_ROW, ("verification_spec", "brute_force_verifiable"), "yes"), ["type verification_spec.brute_force_verifiable"]),
+        (broken(SPEC_ROW, ("target_weakness", "fault_type"), "style"), ["value target_weakness.fault_type"]),
+        (broken(SPEC_ROW, ("language_constraint", "target_languages"), ["a", None]), ["type language_constraint.target_languages[1]"]),
+        (broken(broken(SPEC_ROW, ("spec_id",), drop=True), ("diversity_tags", "data_structure"), 1),
+         ["missing spec_id", "type diversity_tags.data_structure"]),
+    ]
+    checked, told = violations(spark, [row for row, _ in cases], SPEC, nested_gate.SPEC_RULES)
+    for (_, expected), found in zip(cases, told):
+        assert found == expected
+    assert [r.spec_id for r in nested_gate.typed(checked, SPEC).collect()] == ["s1"]
+
+
+def test_nested_gate_of_lists_of_rows_and_of_maps(spark):
+    weakness = {
+        "rank": 1, "fault_type": fixed.FAULT_TYPES[0], "sub_tags": ["a"], "frequency": 2, "sample_task_ids": [1], "trainability": 0.5,
+        "collective_diagnosis": {"refined_root_cause": "r", "capability_cliff": "c", "misdiagnosed_ids": [], "misdiagnosis_corrections": {"1": "x"},
+                                 "cluster_coherence": 1},
+    }
+    report = {"weaknesses": [weakness, weakness], "rankings": {"by_frequency": [1], "by_difficulty": [1], "by_trainability": [1]},
+              "causal_chains": [{"root": "r", "downstream": [], "training_priority": "p"}], "tag_mappings": {"a": "b"}}
+    deep = ("weaknesses", 1, "collective_diagnosis")
+    _, told = violations(spark, [
+        report, broken(report, (*deep, "cluster_coherence"), 1.5), broken(report, (*deep, "misdiagnosis_corrections"), {"7": 3}),
+        broken(report, ("tag_mappings",), {"a": None}), broken(report, ("causal_chains", 0, "root"), drop=True),
+        broken(report, ("weaknesses", 0, "extra"), 1), broken(report, ("tag_mappings",), []),
+    ], REPORT, nested_gate.REPORT_RULES)
+    inner = "weaknesses[1].collective_diagnosis"
+    assert told == [
+        [], [f"value {inner}.cluster_coherence"], [f"type {inner}.misdiagnosis_corrections.7"], ["type tag_mappings.a"],
+        ["missing causal_chains[0].root"], ["unknown weaknesses[0].extra"], ["type tag_mappings"],
+    ]
