@@ -6,8 +6,8 @@ from catalog import sqltext as s
 from catalog.registry import query, table
 from catalog.views import LOG_SQL, NUM, UID, log
 from weakspot import fixed_values as fixed
-from weakspot.schemas import DIAGNOSIS, TASK
-from weakspot.sources import gate, jsonl
+from weakspot.schemas import DIAGNOSIS, SPEC, TASK
+from weakspot.sources import gate, jsonl, nested_gate
 from weakspot.sources import tasks as tk
 from weakspot.streaming import ingest
 
@@ -112,6 +112,40 @@ def schema_violations(spark, sf):
     return gated.select("task_id", F.array_join(gate.VIOLATIONS, ",").alias("violations"))
 
 
+# events as spec answers, broken at several depths
+_SPEC_LINE = f"""CASE WHEN event_id % 31 = 0 THEN '{{broken' ELSE '{{"spec_id": "' || event_type || CAST(event_id AS STRING)
+  || '", "target_weakness": {{"fault_type": "' || CASE event_id % 7 WHEN 0 THEN 'style' ELSE '{fixed.FAULT_TYPES[0]}' END
+  || '", "sub_tags": [' || CASE event_id % 11 WHEN 0 THEN '"a", 1' WHEN 1 THEN '' ELSE '"a"' END || '], "root_cause": '
+  || CASE event_id % 13 WHEN 0 THEN 'null' ELSE '"r"' END || ', "capability_cliff": "c"}}, "problem_spec": {{"algorithm_type": "a", "difficulty": "'
+  || CASE event_id % 5 WHEN 0 THEN 'easy' ELSE '{fixed.DIFFICULTIES[0]}' END || '", "narrative_theme": "n", '
+  || CASE event_id % 17 WHEN 0 THEN '' ELSE '"constraints": {{"n_range": ' || CASE event_id % 3 WHEN 0 THEN '[1]' WHEN 1 THEN '[1, "9"]' ELSE '[1, 9]' END
+  || ', "value_range": [0, 5], "time_limit": "1s", "memory_limit": "1m"' || CASE event_id % 19 WHEN 0 THEN ', "more": 1' ELSE '' END || '}}, ' END
+  || '"key_trap": "k", "must_cover": [], "must_avoid": []}}, "verification_spec": {{"min_test_cases": ' || CAST(event_id % 4 AS STRING)
+  || ', "must_include_edge_cases": [], "brute_force_verifiable": ' || CASE event_id % 23 WHEN 0 THEN '"yes"' ELSE 'true' END
+  || ', "brute_force_complexity_limit": "n"}}, "diversity_tags": {{"narrative_theme": "n", "data_structure": "d", "constraint_scale": "s"}}, '
+  || '"generation_hints": {{"solution_approach": "s", "common_wrong_approach": "w"' || CASE event_id % 29 WHEN 0 THEN '' ELSE ', "distinguishing_test": "t"' END
+  || '}}, "language_constraint": {{"target_languages": ["python"], "language_specific": false}}, "prompt_version": "v1"}}' END"""
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 31 = 0 THEN 'type $' ELSE array_to_string(list_sort(list_filter([
+  CASE WHEN event_id % 7 = 0 THEN 'value target_weakness.fault_type' END,
+  CASE WHEN event_id % 11 = 0 THEN 'type target_weakness.sub_tags[1]' END,
+  CASE WHEN event_id % 13 = 0 THEN 'type target_weakness.root_cause' END,
+  CASE WHEN event_id % 5 = 0 THEN 'value problem_spec.difficulty' END,
+  CASE WHEN event_id % 17 = 0 THEN 'missing problem_spec.constraints' WHEN event_id % 3 = 0 THEN 'value problem_spec.constraints.n_range'
+    WHEN event_id % 3 = 1 THEN 'type problem_spec.constraints.n_range[1]' END,
+  CASE WHEN event_id % 17 <> 0 AND event_id % 19 = 0 THEN 'unknown problem_spec.constraints.more' END,
+  CASE WHEN event_id % 4 = 0 THEN 'value verification_spec.min_test_cases' END,
+  CASE WHEN event_id % 23 = 0 THEN 'type verification_spec.brute_force_verifiable' END,
+  CASE WHEN event_id % 29 = 0 THEN 'missing generation_hints.distinguishing_test' END
+], lambda v: v IS NOT NULL)), ',') END AS violations FROM events""")
+def nested_violations(spark, sf):
+    """Specs as JSON text through the gate at every depth."""
+    raw = table(spark, sf, "events").selectExpr("event_id", f"{_SPEC_LINE} AS raw")
+    checked = nested_gate.gated(raw, SPEC, nested_gate.SPEC_RULES)
+    return checked.select("event_id", F.array_join(nested_gate.VIOLATIONS, ",").alias("violations"))
+
+
 @query("SELECT d.doc_id, d.lang, l.quality, l.toxic, d.n_chars FROM documents d JOIN labels l USING (doc_id)")
 def split_join(spark, sf):
     sides = [table(spark, sf, "documents").drop("text"), table(spark, sf, "labels")]

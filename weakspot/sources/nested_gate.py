@@ -74,22 +74,37 @@ def _one(problem: str, path: Column) -> Column:
     return F.array(F.concat(F.lit(f"{problem} "), path))
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, however often `body` uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _below(path: Column, name: Column, top: bool) -> Column:
     return name if top else F.concat(path, F.lit("."), name)
 
 
 def _walk(value: Column, kind: T.DataType, path: Column, place: str, rules: Rules) -> Column:
     """Violations of a variant: `path` names it in messages, `place` in the rules."""
+    return _once(value, lambda v: F.when(
+        F.coalesce(_fits(v, kind), F.lit(False)), _inside(v, kind, path, place, rules)
+    ).otherwise(_one("type", path)))
+
+
+def _inside(value: Column, kind: T.DataType, path: Column, place: str, rules: Rules) -> Column:
+    """Violations of a variant of the right kind."""
     parts, top = [], not place
     if isinstance(kind, T.StructType):
-        keys = F.coalesce(F.json_object_keys(F.to_json(value)), strings([]))
-        parts.append(F.transform(
-            F.array_except(keys, strings(kind.fieldNames())), lambda k: F.concat(F.lit("unknown "), _below(path, k, top))
-        ))
-        for field in kind.fields:
-            there, named = F.try_variant_get(value, f"$.{field.name}", "variant"), _below(path, F.lit(field.name), top)
-            inner = _walk(there, field.dataType, named, field.name if top else f"{place}.{field.name}", rules)
-            parts.append(F.when(~F.array_contains(keys, field.name), _one("missing", named)).otherwise(inner))
+        def of_fields(keys: Column) -> Column:
+            found = [F.transform(
+                F.array_except(keys, strings(kind.fieldNames())), lambda k: F.concat(F.lit("unknown "), _below(path, k, top))
+            )]
+            for field in kind.fields:
+                there, named = F.try_variant_get(value, f"$.{field.name}", "variant"), _below(path, F.lit(field.name), top)
+                inner = _walk(there, field.dataType, named, field.name if top else f"{place}.{field.name}", rules)
+                found.append(F.when(~F.array_contains(keys, field.name), _one("missing", named)).otherwise(inner))
+            return F.concat(*found)
+
+        parts.append(_once(F.coalesce(F.json_object_keys(F.to_json(value)), strings([])), of_fields))
     elif isinstance(kind, T.ArrayType):
         items = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
         parts.append(F.flatten(F.transform(items, lambda x, i: _walk(
@@ -106,8 +121,7 @@ def _walk(value: Column, kind: T.DataType, path: Column, place: str, rules: Rule
         typed = F.try_variant_get(value, "$", kind.simpleString())
         # a value whose parts can't be typed is told of by its parts
         parts.append(F.when(~rules[place](typed), _one("value", path)).otherwise(strings([])))
-    inside = F.concat(*parts) if parts else strings([])
-    return F.when(F.coalesce(_fits(value, kind), F.lit(False)), inside).otherwise(_one("type", path))
+    return F.concat(*parts) if parts else strings([])
 
 
 def gated(rows: DataFrame, schema: T.StructType, rules: Rules, raw: str = "raw") -> DataFrame:
