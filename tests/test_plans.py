@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weakspot.operators import collective as co
 from weakspot.operators import diversity as dv
+from weakspot.functions.language import primary_language
 from weakspot.operators import merges as mg
 from weakspot.operators.diagnose import analyzer_payload
 from weakspot.operators.repair import batch_rediagnoser, ladder, repaired
@@ -140,6 +141,46 @@ def test_bad_answers_fall_back_to_the_default(spark):
     assert [(r["error_type"], r["attempts"]) for r in seen] == [("collective_parse_failure", 2)]
 
 
+def test_every_syntax_pattern_is_reached_through_its_hint(spark):
+    """A text for each pattern of each family, and prose that holds the hints only."""
+    texts = [
+        ("python", "def f(x)"), ("python", "a\n import os, re "), ("r", "f <- function (x)"), ("r", "function(x) x"),
+        ("java", "public static int f("), ("java", "System.out.println ("), ("typescript", "function f(a: number"),
+        ("typescript", "let x: number ="), ("typescript", "interface Shape"), ("javascript", "import a from 'b';"),
+        ("javascript", 'import a from "b"'), ("javascript", "function f ("), ("javascript", "console.log ("), ("javascript", "const x = ("), ("cpp", " #include <map>"),
+        ("cpp", "std::map"), ("go", "func f("), ("go", "package main"), ("rust", "fn f("), ("rust", "let mut x"),
+        ("unknown", "imports let the package functions (so): mutual = constant"), ("unknown", ""), ("unknown", "pythons ergo"),
+        ("go", "written in Go"), ("cpp", "some C++x"), ("cpp", "cpp"), ("rust", "Ru\u017ft"), ("python", "java or Python"),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["l"] for r in rows.select("i", primary_language(F.col("t")).alias("l")).collect()}
+    assert [(got[i], t) for i, (_, t) in enumerate(texts)] == texts
+
+
+def test_closure_takes_as_many_rounds_as_its_longest_chain_needs(spark, monkeypatch):
+    """A chain of 40 links, 300 short ones, a cycle of 3 with a tail of 17, against following the edges."""
+    edges = {f"a{i}": f"a{i + 1}" for i in range(40)} | {f"s{i}": f"e{i}" for i in range(300)}
+    edges |= {"c0": "c1", "c1": "c2", "c2": "c0"} | {f"t{i}": f"t{i + 1}" for i in range(16)} | {"t16": "c1"}
+    rows = spark.createDataFrame(list(edges.items()), "source string, target string")
+    written, tables = mg.written, []
+    monkeypatch.setattr(mg, "written", lambda df, label: tables.append(label) or written(df, label))
+
+    def end(tag):
+        path = [tag]
+        while path[-1] in edges:
+            following = edges[path[-1]]
+            if following in path:
+                return following  # where the path enters the cycle; itself for a tag on it
+            path.append(following)
+        return path[-1]
+
+    assert {r["source"]: r["target"] for r in mg.closure(rows).collect()} == {t: end(t) for t in edges}
+    assert tables.count("repeat") == 7  # 4, 16, 64 steps and one more to see it, then 64 again
+    tables.clear()
+    short = rows.filter("source LIKE 's%'")
+    assert mg.closure(short).count() == 300 and tables.count("repeat") == 2
+
+
 def test_closure_of_chains_cycles_and_tails(spark):
     edges = {"a": "b", "b": "c", "c": "c", "x": "y", "y": "z", "z": "x", "t": "x", "s": "t", "q": "w"}
     chain = {f"n{i}": f"n{i + 1}" for i in range(40)}

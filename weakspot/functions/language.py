@@ -16,32 +16,44 @@ def _from_fence(text: Column) -> Column:
     return first(F.array_compact(known))
 
 
-# words of which every text of a syntax family contains at least one
+# what every text that matches a pattern contains, pattern by pattern: one phrase of each group
 SYNTAX_HINTS = {
-    "python": ["def", "import"],
-    "r": ["function"],
-    "java": ["public", "System.out"],
-    "typescript": ["function", "const", "let", "interface"],
-    "javascript": ["import", "function", "console.log", "const", "let"],
-    "cpp": ["#include", "std::"],
-    "go": ["func", "package"],
-    "rust": ["fn", "let"],
+    "python": ["def (", "import"],
+    "r": ["<- function (", "function ( )"],
+    "java": ["public static (", "System.out.println ("],
+    "typescript": ["function ( :", "const|let : =", "interface"],
+    "javascript": ["import from '|\"", "function (", "console.log (", "const|let = ("],
+    "cpp": ["#include < >", "std::"],
+    "go": ["func (", "package"],
+    "rust": ["fn (", "let mut"],
 }
+# the mention patterns in one, with their common word boundaries outside: hits where one of them does
+ANY_MENTION = r"\b(?:%s)\b" % "|".join(
+    word.removeprefix(r"\b").removesuffix(r"\b") for _, regex in fixed.LANGUAGE_MENTION for word in regex.split("|")
+)
+
+
+def _hinted(text: Column, hint: str) -> Column:
+    return reduce(lambda a, b: a & b, [contains_any(text, group.split("|")) for group in hint.split()])
 
 
 def _syntax(text: Column) -> Column:
     chain = F
     for language, patterns in fixed.LANGUAGE_SYNTAX:
-        hit = reduce(lambda a, b: a | b, [matches(text, regex, flags) for flags, regex in patterns])
-        chain = chain.when(contains_any(text, SYNTAX_HINTS[language]) & hit, F.lit(language))
+        hits = [
+            _hinted(text, hint) & matches(text, regex, flags)
+            for hint, (flags, regex) in zip(SYNTAX_HINTS[language], patterns, strict=True)
+        ]
+        chain = chain.when(reduce(lambda a, b: a | b, hits), F.lit(language))
     return chain.otherwise(F.lit(None).cast("string"))
 
 
 def _mention(text: Column) -> Column:
-    chain = F
+    """First language of the list that is mentioned; a text without any is passed over once."""
+    chain = F.when(~matches(text, ANY_MENTION, "i"), F.lit(None).cast("string"))
     for language, regex in fixed.LANGUAGE_MENTION:
         chain = chain.when(matches(text, regex, "i"), F.lit(language))
-    return chain.otherwise(F.lit(None).cast("string"))
+    return chain
 
 
 def primary_language(text: Column) -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
 from weakspot.operators.report import weakness_key
+from weakspot.sources.artifacts import written
 
 EVIDENCE_FIELDS = ["wrong_line", "correct_approach", "failed_test"]
 EVIDENCE_ROWS = 3
@@ -58,24 +59,26 @@ def sample_evidence(weaknesses: DataFrame, diagnoses: DataFrame, tag_map: DataFr
     """Up to three evidence rows per key: (key, pos, evidence).
 
     The sampled tasks in their listed order; a key none of whose samples has a
-    diagnosis takes the first diagnoses carrying one of its tags.  Both sides of
-    the lookups are small (three ids per weakness, at most 35 weaknesses), so
-    they are broadcast and the diagnoses are only scanned.
+    diagnosis takes the first diagnoses carrying one of its tags.  The tag map is cut
+    to the tags that lead to such a key before the diagnoses meet it, so that only
+    their rows go on; where no key is left, the second scan falls away.
     """
     best = first_per_key(weaknesses)
     wanted = best.select("key", F.posexplode("sample_task_ids").alias("at", "task_id"))
-    own = diagnoses.select("task_id", "evidence").join(F.broadcast(wanted), "task_id")
-    missing = best.select("key").join(own.select("key").distinct(), "key", "left_anti")
-
-    tags = diagnoses.select("task_id", "evidence", F.posexplode("sub_tags").alias("at", "tag"))
-    mapped = tags.join(tag_map, tags["tag"] == tag_map["source"], "left").withColumn(
-        "key", F.coalesce("target", "tag")
-    )
-    other = mapped.join(F.broadcast(missing), "key", "left_semi")
     columns = ["key", "at", "task_id", "evidence"]
-    return _first_three(own.select(*columns), ["at", "task_id"]).unionByName(
-        _first_three(other.select(*columns), ["task_id", "at"])
+    # at most three rows per sampled task and weakness, read twice below
+    own = written(
+        _first_three(diagnoses.select("task_id", "evidence").join(wanted, "task_id").select(*columns), ["at", "task_id"]),
+        "samples",
     )
+    missing = best.select("key").join(own.select("key"), "key", "left_anti")
+    leading = tag_map.select(F.col("source").alias("tag"), F.coalesce("target", "source").alias("key"))
+    asked = leading.join(missing, "key", "left_semi").unionByName(
+        missing.join(leading, missing["key"] == leading["tag"], "left_anti").select(F.col("key").alias("tag"), "key")
+    )
+    tags = diagnoses.select("task_id", "evidence", F.posexplode("sub_tags").alias("at", "tag"))
+    other = tags.join(asked, "tag").select(*columns)
+    return own.unionByName(_first_three(other, ["task_id", "at"]))
 
 
 def _first_three(rows: DataFrame, order: list[str]) -> DataFrame:
