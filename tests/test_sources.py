@@ -1,12 +1,14 @@
 import json
+import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from weakspot import fixed_values as fixed
 from weakspot.operators.diagnose import unprocessed
 from weakspot.schemas import DIAGNOSIS, REPORT, SPEC, TASK
 from weakspot.sources import gate, jsonl, nested_gate, tasks
-from weakspot.sources.artifacts import RunStore, check_run_id
+from weakspot.sources.artifacts import RunStore, check_run_id, scratch, scratch_root, written
 
 TASK_ROW = {"task_id": 1, "content": "c", "canonical_solution": "s", "completion": "x", "test_code": "t",
             "labels": {"k": "v", "n": 3}, "accepted": False, "metrics": {"p": 0.5}, "extra": {}}
@@ -147,6 +149,50 @@ def test_missing_artifact_is_empty(spark, tmp_path):
     assert store.read_or_empty("specs", TASK).count() == 0
 
 
+def left(spark):
+    folder = pathlib.Path(scratch_root(spark).removeprefix("file:")) / "weakspot"
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_intermediates_go_with_their_scope(spark):
+    before = left(spark)
+    with scratch():
+        outer = written(spark.range(3), "outer")
+        with scratch():
+            assert written(spark.range(2), "inner").count() == 2
+        assert {n.split("-")[0] for n in left(spark) - before} == {"outer"} and outer.count() == 3
+    assert left(spark) == before
+    with pytest.raises(ZeroDivisionError), scratch():
+        written(spark.range(1), "lost")
+        1 / 0
+    with pytest.raises(Exception, match="no row"), scratch():
+        written(spark.range(1).select(F.raise_error(F.lit("no row")).alias("x")), "half")
+    assert left(spark) == before
+    free = written(spark.range(1), "free")
+    assert free.count() == 1 and {n.split("-")[0] for n in left(spark) - before} == {"free"}
+
+
+def test_a_run_leaves_no_intermediates_and_a_failed_stage_leaves_the_specs(spark, tmp_path):
+    from weakspot.plans.run import run
+    from weakspot.plans.synthesize import Settings, Synthesis
+
+    before = left(spark)
+    rows = spark.createDataFrame([tuple({**TASK_ROW, "task_id": i, "completion": "AssertionError in go_on_now", "labels": {}, "metrics": "{}", "extra": "{}"}[f]
+                                        for f in TASK.fieldNames()) for i in (1, 2)], TASK)
+    run(spark, rows, str(tmp_path), "r", settings=Settings(top_n=1))
+    store = RunStore(spark, str(tmp_path), "r")
+    made = sorted(r["spec_id"] for r in store.read("specs", SPEC).collect())
+    assert made and left(spark) == before
+
+    def broken(report, diagnoses, prior):
+        bad = prior.withColumn("spec_id", F.raise_error(F.lit("no spec")).cast("string"))
+        return Synthesis(bad, spark.createDataFrame([], "stage string"), prior)
+
+    with pytest.raises(Exception, match="no spec"):
+        run(spark, rows, str(tmp_path), "r", "synthesize", synthesize_stage=broken)
+    assert sorted(r["spec_id"] for r in store.read("specs", SPEC).collect()) == made and left(spark) == before
+
+
 SPEC_ROW = {
     "spec_id": "s1", "target_weakness": {"fault_type": fixed.FAULT_TYPES[0], "sub_tags": ["a"], "root_cause": "r", "capability_cliff": "c"},
     "problem_spec": {

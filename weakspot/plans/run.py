@@ -17,7 +17,7 @@ from weakspot.plans.aggregate import Report, aggregate
 from weakspot.plans.diagnose import new_diagnoses
 from weakspot.plans.synthesize import Settings, Synthesis, synthesize
 from weakspot.schemas import DIAGNOSIS, EVENT_LOG, SPEC
-from weakspot.sources.artifacts import RunStore, written
+from weakspot.sources.artifacts import RunStore, scratch, written
 from weakspot.sources.tasks import check_unique
 
 
@@ -98,7 +98,8 @@ def run(
     a function of its own.
 
     Every stage reads the written artifact of the one before it, so a run can
-    be taken up again after any of them.
+    be taken up again after any of them.  Intermediates of a stage are removed once its
+    artifact is written, or the stage has failed.
     """
     started = time.monotonic()
     store = RunStore(spark, root, run_id)
@@ -119,17 +120,19 @@ def run(
     if stages.diagnose:
         done = store.read("diagnoses", DIAGNOSIS)
         todo = tasks if done is None else unprocessed(tasks, done)
-        new = diagnose_stage(todo) if diagnose_stage else new_diagnoses(todo, rules, hooks.confirm, hooks.deep, log)
-        store.write(new.select(*DIAGNOSIS.fieldNames()), "diagnoses", "append")
+        with scratch():
+            new = diagnose_stage(todo) if diagnose_stage else new_diagnoses(todo, rules, hooks.confirm, hooks.deep, log)
+            store.write(new.select(*DIAGNOSIS.fieldNames()), "diagnoses", "append")
         executed.append("diagnose")
     diagnoses = store.read_or_empty("diagnoses", DIAGNOSIS)
 
     if stages.aggregate:
         rows = normalized(diagnoses) if stages.diagnose else diagnoses
-        report = aggregate_stage(rows) if aggregate_stage else aggregate(
-            rows, hooks.level, hooks.reachable, hooks.verifiers, hooks.rediagnose, hooks.collective, hooks.causal, on_log=log
-        )
-        store.write_report(report.document())
+        with scratch():
+            report = aggregate_stage(rows) if aggregate_stage else aggregate(
+                rows, hooks.level, hooks.reachable, hooks.verifiers, hooks.rediagnose, hooks.collective, hooks.causal, on_log=log
+            )
+            store.write_report(report.document())
         executed.append("aggregate")
     document = store.read_report()
     if document is None:
@@ -138,13 +141,16 @@ def run(
 
     if stages.synthesize:
         prior = store.read("specs", SPEC)
-        if prior is not None:
-            prior = written(prior, "prior")  # the artifact is rewritten below
-        made = synthesize_stage(report, diagnoses, prior) if synthesize_stage else synthesize(
-            report, diagnoses, prior, settings, hooks.generate, hooks.check
-        )
-        log(made.events)
-        store.write(made.specs, "specs")
+        with scratch():
+            if prior is not None:
+                prior = written(prior, "prior")  # the artifact is rewritten below
+            made = synthesize_stage(report, diagnoses, prior) if synthesize_stage else synthesize(
+                report, diagnoses, prior, settings, hooks.generate, hooks.check
+            )
+            # the specs stand beside the artifact before it is replaced, so that a fault in making them leaves it whole
+            specs = written(made.specs, "specs")
+            log(made.events)
+            store.write(specs, "specs")
         executed.append("synthesize")
     specs = store.read_or_empty("specs", SPEC)
     if stages.synthesize and specs.isEmpty():

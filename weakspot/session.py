@@ -8,7 +8,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # written intermediates go once nothing refers to them
+    # checkpoints of RDDs go once nothing refers to them; for written tables see sources.artifacts.scratch
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # plans are built from many small expressions; recording a stack trace for
     # each takes longer than building it

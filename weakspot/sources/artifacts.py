@@ -2,6 +2,9 @@
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -77,13 +80,43 @@ def scratch_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_KEPT_FOR: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("tables of the scope", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Intermediates written inside go when the block ends, also when it fails.
+
+    What is made from them has to be stored by then.  An inner block removes its own
+    tables only.  Outside of any block they stay, as a result that nobody has read yet
+    may need them.  What a killed driver leaves lies under ``weakspot`` in the shared folder.
+    """
+    tables = []
+    outer = _KEPT_FOR.set(tables)
+    try:
+        yield
+    finally:
+        _KEPT_FOR.reset(outer)
+        for spark, path in tables:
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts lineage, survives lost executors and keeps user callbacks from being
-    run a second time.
+    run a second time.  `scratch` says when it goes.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/weakspot/{label}-{uuid.uuid4().hex}"
+    tables = _KEPT_FOR.get()
+    if tables is not None:
+        tables.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
