@@ -77,6 +77,19 @@ def test_an_id_keeps_its_content_across_batches(spark, tmp_path):
     assert told(store) == [(1, "changed", earlier), (1, "zz", beside), (2, "changed", earlier), (2, "zz", earlier)]
 
 
+def test_ids_and_digests_are_not_sent_to_the_driver(spark, tmp_path):
+    # files, as their size is what Spark guesses by
+    frame(spark, line(1), line(1, "changed"), line(2)).write.parquet(str(tmp_path / "lines"))
+    spark.createDataFrame([(2, "x")], "task_id long, digest string").write.parquet(str(tmp_path / "known"))
+    lines, known = spark.read.parquet(str(tmp_path / "lines")), spark.read.parquet(str(tmp_path / "known"))
+    for before in (None, known):
+        rows, bad = ingest.sorted_out(lines, before)
+        for told_apart in (rows, bad):
+            assert "Broadcast" not in told_apart._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["task_id"] for r in rows.collect()) == ([1] if before else [1, 2])
+        assert bad.count() == (2 if before else 1)
+
+
 def test_a_batch_lost_at_any_write_is_replaced(spark, tmp_path, monkeypatch):
     store = RunStore(spark, str(tmp_path), "live")
     run = ingest.diagnose_batch(store, buckets=8)
