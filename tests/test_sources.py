@@ -225,6 +225,17 @@ def violations(spark, rows, schema, rules):
     return got, [r.violations for r in got.orderBy("n").collect()]
 
 
+def test_nested_gate_takes_objects_apart_once_per_level(spark):
+    rows = spark.createDataFrame([('{"\\ud800": 1, "a.b": 2}',), ("{}",)], "raw string")
+    checked = nested_gate.gated(rows, SPEC, nested_gate.SPEC_RULES)
+    plan = checked._jdf.queryExecution().analyzed().toString()
+    # written out as JSON and typed as wholes, the inner objects were read again on each level
+    assert "json_object_keys" not in plan and "to_json" not in plan
+    # a key that can't be written as JSON text is a key like any other
+    told = [[v for v in r[nested_gate.VIOLATIONS] if v.startswith("unknown")] for r in checked.collect()]
+    assert [len(t) for t in told] == [2, 0] and "unknown a.b" in told[0]
+
+
 def test_nested_gate_names_every_path_of_a_spec(spark):
     limits = ("problem_spec", "constraints")
     cases = [

@@ -57,12 +57,8 @@ SPEC_RULES: Rules = {
 
 
 def _fits(value: Column, kind: T.DataType) -> Column:
-    """Whether a variant that isn't null holds the kind of JSON value that a type asks for."""
+    """Whether a variant that isn't null holds the kind of JSON value that a type without parts asks for."""
     found = F.schema_of_variant(value)
-    if isinstance(kind, (T.StructType, T.MapType)):
-        return found.startswith("OBJECT<")
-    if isinstance(kind, T.ArrayType):
-        return found.startswith("ARRAY<")
     if isinstance(kind, T.DoubleType):
         return found.rlike(r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*)$")
     right = found == _KINDS[type(kind)]
@@ -71,7 +67,11 @@ def _fits(value: Column, kind: T.DataType) -> Column:
 
 
 def _one(problem: str, path: Column) -> Column:
-    return F.array(F.concat(F.lit(f"{problem} "), path))
+    return F.array(_told(problem, path))
+
+
+def _told(problem: str, path: Column) -> Column:
+    return F.concat(F.lit(f"{problem} "), path)
 
 
 def _once(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -83,45 +83,63 @@ def _below(path: Column, name: Column, top: bool) -> Column:
     return name if top else F.concat(path, F.lit("."), name)
 
 
+def _has_parts(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+
+
+def _refused(value: Column, kind: T.DataType, place: str, rules: Rules) -> Column:
+    """Whether a rule refuses a variant of the right kind; a value whose parts can't be typed is told of by its parts."""
+    return ~rules[place](F.try_variant_get(value, "$", kind.simpleString()))
+
+
 def _walk(value: Column, kind: T.DataType, path: Column, place: str, rules: Rules) -> Column:
     """Violations of a variant: `path` names it in messages, `place` in the rules."""
-    return _once(value, lambda v: F.when(
-        F.coalesce(_fits(v, kind), F.lit(False)), _inside(v, kind, path, place, rules)
-    ).otherwise(_one("type", path)))
-
-
-def _inside(value: Column, kind: T.DataType, path: Column, place: str, rules: Rules) -> Column:
-    """Violations of a variant of the right kind."""
-    parts, top = [], not place
-    if isinstance(kind, T.StructType):
-        def of_fields(keys: Column) -> Column:
-            found = [F.transform(
-                F.array_except(keys, strings(kind.fieldNames())), lambda k: F.concat(F.lit("unknown "), _below(path, k, top))
-            )]
-            for field in kind.fields:
-                there, named = F.try_variant_get(value, f"$.{field.name}", "variant"), _below(path, F.lit(field.name), top)
-                inner = _walk(there, field.dataType, named, field.name if top else f"{place}.{field.name}", rules)
-                found.append(F.when(~F.array_contains(keys, field.name), _one("missing", named)).otherwise(inner))
-            return F.concat(*found)
-
-        parts.append(_once(F.coalesce(F.json_object_keys(F.to_json(value)), strings([])), of_fields))
-    elif isinstance(kind, T.ArrayType):
-        items = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
-        parts.append(F.flatten(F.transform(items, lambda x, i: _walk(
+    if not _has_parts(kind):
+        return F.array_compact(F.array(_leaf(value, kind, path, place, rules)))
+    if place not in rules:
+        return _parts(value, kind, path, place, rules)
+    return _once(value, lambda v: F.concat(
+        _parts(v, kind, path, place, rules), F.when(_refused(v, kind, place, rules), _one("value", path)).otherwise(strings([]))
+    ))
+
+
+def _leaf(value: Column, kind: T.DataType, path: Column, place: str, rules: Rules) -> Column:
+    """The violation of a value without parts, or null."""
+    def told(v: Column) -> Column:
+        wrong = F.when(~F.coalesce(_fits(v, kind), F.lit(False)), _told("type", path))
+        return wrong.when(_refused(v, kind, place, rules), _told("value", path)) if place in rules else wrong
+
+    return _once(value, told) if place in rules or isinstance(kind, T.IntegerType) else told(value)
+
+
+def _parts(value: Column, kind: T.DataType, path: Column, place: str, rules: Rules) -> Column:
+    """Violations of a variant with parts: they are taken out once, and only a value of the right kind has them."""
+    held = F.try_variant_get(value, "$", "array<variant>" if isinstance(kind, T.ArrayType) else "map<string,variant>")
+    return _once(held, lambda parts: F.when(parts.isNull(), _one("type", path)).otherwise(_inside(parts, kind, path, place, rules)))
+
+
+def _inside(parts: Column, kind: T.DataType, path: Column, place: str, rules: Rules) -> Column:
+    """Violations of the parts of a variant, an array or a map of variants."""
+    top = not place
+    if isinstance(kind, T.ArrayType):
+        return F.flatten(F.transform(parts, lambda x, i: _walk(
             x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), f"{place}[]", rules
-        ))))
-    elif isinstance(kind, T.MapType):
-        entries = F.coalesce(
-            F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")), F.array().cast("array<struct<key:string,value:variant>>")
-        )
-        parts.append(F.flatten(F.transform(entries, lambda e: _walk(
+        )))
+    if isinstance(kind, T.MapType):
+        return F.flatten(F.transform(F.map_entries(parts), lambda e: _walk(
             e["value"], kind.valueType, _below(path, e["key"], top), f"{place}{{}}", rules
-        ))))
-    if place in rules:
-        typed = F.try_variant_get(value, "$", kind.simpleString())
-        # a value whose parts can't be typed is told of by its parts
-        parts.append(F.when(~rules[place](typed), _one("value", path)).otherwise(strings([])))
-    return F.concat(*parts) if parts else strings([])
+        )))
+    unknown = F.array_except(F.map_keys(parts), strings(kind.fieldNames()))
+    leaves, found = [], [F.transform(unknown, lambda k: F.concat(F.lit("unknown "), _below(path, k, top)))]
+    for field in kind.fields:
+        # null for a key that isn't there; null in JSON is a variant
+        there, named = F.try_element_at(parts, F.lit(field.name)), _below(path, F.lit(field.name), top)
+        below = field.dataType, named, field.name if top else f"{place}.{field.name}", rules
+        if _has_parts(field.dataType):
+            found.append(F.when(there.isNull(), _one("missing", named)).otherwise(_walk(there, *below)))
+        else:
+            leaves.append(F.when(there.isNull(), _told("missing", named)).otherwise(_leaf(there, *below)))
+    return F.concat(*found, F.array_compact(F.array(*leaves))) if leaves else F.concat(*found)
 
 
 def gated(rows: DataFrame, schema: T.StructType, rules: Rules, raw: str = "raw") -> DataFrame:
