@@ -2,6 +2,8 @@ import hashlib
 import math
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from weakspot.llm import line_dedup as L
 
 
@@ -98,3 +100,12 @@ def test_emptied_documents_and_empty_table(table):
     kept = L.without_recurring_lines(docs, drop_emptied=True)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 9, 10]
     assert L.without_recurring_lines(table([])).count() == 0
+
+
+def test_stretches_are_cut_from_tokens_split_beforehand(spark):
+    rows = spark.createDataFrame([("a b c d e".split(),), (["x"],)], "tokens array<string>")
+    cut = rows.select(L.stretches(F.col("tokens"), 0.8).alias("cut"))
+    assert "split(" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    hashes = rows.limit(1).select(F.xxhash64(F.slice("tokens", 1, 2)), F.xxhash64(F.slice("tokens", 3, 3))).first()
+    assert [[(part["at"], part["hash"]) for part in row.cut] for row in cut.collect()][0] == list(enumerate(hashes))
+    assert [len(row.cut) for row in cut.collect()] == [2, 1]
