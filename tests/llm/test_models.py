@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from weakspot.llm import language_id as I, mixing as M, quality_classifier as Q, token_counts as T
+from weakspot.llm.common import words
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ung", "ei", "ver"], "cc": ["çé", "eau", "que", "ion"]}
 
@@ -208,3 +209,15 @@ def test_every_language_can_be_predicted(spark):
     rows, whole = I.Rows(model), [list(model.predict([text]))]
     rows.room = 64
     assert np.allclose(list(model.predict([text], rows))[0][1], whole[0][0][1]) and list(model.predict([text], rows))[0][0] == whole[0][0][0]
+
+
+def test_buckets_find_the_kinds_of_words_once(spark):
+    texts = ["ABcd ABcd é!", "", None, "\U0001f600X\nY"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("found", words(F.col("text")))
+    listed = rows.select("text", M.buckets_of(F.col("text"), F.col("found")).alias("buckets"))
+    plan = listed._jdf.queryExecution().analyzed().toString()
+    assert plan.count("array_distinct(found") == 1 and "translate(text" not in plan.split("\n")[0]
+    shares = [3, 0, 0, 5]  # A-Z per code points, in tenths
+    names = spark.range(10).select(M.bucket(F.concat(F.lit("\tcapitals "), F.col("id").cast("string")))).collect()
+    for row, tenth in zip(sorted(listed.collect(), key=lambda r: texts.index(r["text"])), shares):
+        assert names[tenth][0] in row["buckets"] and len(set(row["buckets"])) == len(row["buckets"])

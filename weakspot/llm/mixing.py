@@ -28,7 +28,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weakspot.llm.common import UPPER, draw_of, held, read, smallest, with_names, words, written
+from weakspot.llm.common import draw_of, held, read, smallest, with_names, words, written
 
 BUCKETS = 1 << 14
 TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
@@ -47,14 +47,19 @@ def bucket(word: Column) -> Column:
 def buckets_of(text: Column, found: Column) -> Column:
     """Distinct buckets of a text's words, runs of marks, capitals, repetition and length."""
     marks = F.array_distinct(F.split(F.coalesce(text, F.lit("")), r"[\p{L}\p{N}\s]+"))
-    size, capitals = F.size(found), F.char_length(text) - F.char_length(F.translate(text, UPPER, ""))
+    size, capitals = F.size(found), F.char_length(F.regexp_replace(text, "[^A-Z]+", ""))
     share = lambda part, of: F.floor(F.lit(10) * part / F.greatest(of, F.lit(1))).cast("string")
-    facts = F.array(
-        F.concat(F.lit("\tcapitals "), share(F.coalesce(capitals, F.lit(0)), F.coalesce(F.char_length(text), F.lit(0)))),
-        F.concat(F.lit("\trepeated "), share(F.size(F.array_distinct(found)), size)),
-        F.concat(F.lit("\tlength "), F.floor(F.log2(size + F.lit(1))).cast("string")),
-    )
-    return F.array_distinct(F.transform(F.concat(F.array_distinct(found), marks, facts), bucket))
+
+    def hashed(kinds: Column) -> Column:
+        facts = F.array(
+            F.concat(F.lit("\tcapitals "), share(F.coalesce(capitals, F.lit(0)), F.coalesce(F.char_length(text), F.lit(0)))),
+            F.concat(F.lit("\trepeated "), share(F.size(kinds), size)),
+            F.concat(F.lit("\tlength "), F.floor(F.log2(size + F.lit(1))).cast("string")),
+        )
+        return F.transform(F.concat(kinds, marks, facts), bucket)
+
+    # the kinds of words are found once for both uses
+    return F.array_distinct(F.get(F.transform(F.array(F.array_distinct(found)), hashed), 0))
 
 
 class Classifier:
@@ -151,15 +156,17 @@ def train(
 
 def with_posteriors(docs: DataFrame, model: Classifier, text: str, n: str, posterior: list[str]) -> DataFrame:
     """Add the number of words and the posterior of each domain."""
-    names = with_names(docs, ["words", "buckets", "logits"])
+    names = with_names(docs, ["words", "n", "buckets", "logits"])
     rows = held(docs, names["words"], words(F.col(text)))
     rows = held(rows, names["buckets"], buckets_of(F.col(text), F.col(names["words"])))
+    # counted before the next step, which then need not carry the words
+    rows = rows.withColumn(names["n"], F.size(names["words"]).cast("long")).drop(names["words"])
     rows = held(rows, names["logits"], F.array(*model.logits(F.col(names["buckets"]))))
     logits = [F.col(names["logits"])[k] for k in range(len(model.domains))]
     top = F.greatest(*logits) if len(logits) > 1 else logits[0]
     parts = [F.exp(x - top) for x in logits]
     return rows.withColumns(
-        {n: F.size(names["words"]).cast("long")} | {p: part / sum(parts[1:], parts[0]) for p, part in zip(posterior, parts)}
+        {n: F.col(names["n"])} | {p: part / sum(parts[1:], parts[0]) for p, part in zip(posterior, parts)}
     ).drop(*names.values())
 
 
